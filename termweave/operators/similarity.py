@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termweave.operators.rows import unnest
 from termweave.operators.skew import balanced_join, lookup_join
 from termweave.runtime import materialise
 
@@ -35,9 +36,8 @@ def two_sided(r: DataFrame, s: DataFrame) -> DataFrame:
 
 def token_frequency(records: DataFrame) -> DataFrame:
     """``(token, freq)``: number of records of either side that hold the token."""
-    return records.select(F.explode("tokens").alias("token")).groupBy("token").agg(
-        F.count("*").alias("freq")
-    )
+    tokens = unnest(records.select("tokens"), "tokens", "token")
+    return tokens.groupBy("token").agg(F.count("*").alias("freq"))
 
 
 def canonical_order(records: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def canonical_order(records: DataFrame) -> DataFrame:
     Records without tokens are left out.
     """
     keys = [column for column in records.columns if column != "tokens"]
-    tokens = records.select(*keys, F.explode("tokens").alias("token"))
+    tokens = unnest(records, "tokens", "token")
     counted = lookup_join(tokens, token_frequency(records), key="token", weight="freq")
     return counted.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("freq", "token"))).alias("tokens")
@@ -109,7 +109,7 @@ def _digest(tokens: Column) -> Column:
 
 def set_similarity_join(r: DataFrame, s: DataFrame, threshold: float) -> DataFrame:
     """``(rid, sid, sim)`` of all pairs whose rounded similarity reaches the threshold."""
-    records = two_sided(r, s).where(F.size("tokens") > 0)
+    records = two_sided(r, s)
     distinct_sets = (
         records.select("side", "id", F.array_sort("tokens").alias("tokens"))
         .groupBy("side", "tokens")

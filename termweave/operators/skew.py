@@ -36,9 +36,12 @@ def lookup_join(
     are most of the rows.  Only the light rest is shuffled on ``key``.
     """
     total = lookup.agg(F.sum(weight)).scalar()
-    is_heavy = F.col(weight) * F.lit(heavy_keys) > total
+    share = F.col(weight) * F.lit(heavy_keys)
     if isinstance(lookup.schema[key].dataType, T.StringType):
-        is_heavy &= F.octet_length(key) <= LOOKUP_HEAVY_KEY_BYTES
+        # Asked of the product and not of the key alone: a filter on the key would be pushed
+        # below the aggregation that made ``lookup``, whose exchange could not be reused then.
+        share = F.when(F.octet_length(key) <= LOOKUP_HEAVY_KEY_BYTES, share).otherwise(F.lit(0))
+    is_heavy = share > total
     heavy = lookup.where(is_heavy)
     light = lookup.where(~is_heavy)
     met = facts.join(F.broadcast(heavy), key)

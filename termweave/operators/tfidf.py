@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termweave.operators.rows import unnest
 from termweave.operators.skew import lookup_join
 
 
@@ -13,7 +14,7 @@ def term_frequency(docs: DataFrame) -> DataFrame:
 
     Rows that repeat a document id are merged.
     """
-    terms = docs.select("doc_id", F.explode("tokens").alias("word"))
+    terms = unnest(docs.select("doc_id", "tokens"), "tokens", "word")
     return terms.groupBy(F.lower("word").alias("term"), "doc_id").agg(F.count("*").alias("tf"))
 
 

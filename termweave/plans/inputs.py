@@ -55,8 +55,7 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def record_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """``(id, tokens)`` of the documents with even and with odd ids, those with tokens."""
+    """``(id, tokens)`` of the documents with even and with odd ids."""
     table = scan(spark, f"{sf_dir}/documents.parquet", "doc_id", "text")
     sets = table.select(F.col("doc_id").alias("id"), letter_runs(F.col("text")).alias("tokens"))
-    filled = sets.where(F.size("tokens") > 0)
-    return filled.where(F.col("id") % 2 == 0), filled.where(F.col("id") % 2 != 0)
+    return sets.where(F.col("id") % 2 == 0), sets.where(F.col("id") % 2 != 0)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termweave.operators import cooccurrence, cycles, similarity, tfidf
+from termweave.operators.rows import unnest
 from termweave.plans import inputs
 from termweave.sources import similarity_lines
 
@@ -16,7 +17,7 @@ THRESHOLD = 0.8
 
 def tokenize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = inputs.documents(spark, sf_dir)
-    return docs.select("doc_id", F.posexplode("tokens").alias("pos", "token"))
+    return unnest(docs, "tokens", "token", position="pos")
 
 
 def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,8 +39,7 @@ def tfidf_inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = inputs.lines(spark, sf_dir)
-    return lines.select("doc_id", "line_no", F.posexplode("tokens").alias("pos", "token"))
+    return unnest(inputs.lines(spark, sf_dir), "tokens", "token", position="pos")
 
 
 def cooccurrence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +93,8 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def record_token_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = F.array_join(F.array_sort("tokens"), " ")
-    return _records(spark, sf_dir).select("side", "id", tokens.alias("tokens"))
+    filled = _records(spark, sf_dir).where(F.size("tokens") > 0)
+    return filled.select("side", "id", tokens.alias("tokens"))
 
 
 def token_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
