@@ -119,7 +119,11 @@ def _half_cycles(ranked: DataFrame, length: int) -> DataFrame:
 def _halves(edges: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     if k < 2:
         raise ValueError("a cycle needs k >= 2 vertices")
-    ranked = materialise(ranked_edges(edges))
+    if k == 2:  # no path is extended, so any ranking does
+        no_degree = (F.lit(0).alias(f"{side}_degree") for side in ("src", "dst"))
+        ranked = weighted_edges(edges).select("*", *no_degree)
+    else:
+        ranked = materialise(ranked_edges(edges))
     reverse = ranked.select(
         F.col("dst").alias("src"),
         F.col("dst_degree").alias("src_degree"),

@@ -116,22 +116,31 @@ def set_similarity_join(r: DataFrame, s: DataFrame, threshold: float) -> DataFra
         .agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     )
     sets = materialise(canonical_order(distinct_sets))
-    pairs = candidates(materialise(prefixes(sets, threshold)), threshold, positional=True)
-    for side in ("r", "s"):
+    prefix = materialise(prefixes(sets, threshold))
+    pairs = materialise(candidates(prefix, threshold, positional=True))
+
+    def with_tokens(side: str) -> DataFrame:
         known = sets.where(F.col("side") == side).select(
             F.col("id").alias(f"{side}id"),
             F.col("tokens.token").alias(f"{side}tokens"),
             F.col("copies").alias(f"{side}copies"),
         )
-        pairs = pairs.join(known, f"{side}id")
-    similar = pairs.select(
+        return balanced_join(pairs, known, [f"{side}id"])
+
+    # Each side is joined to the bare pairs, and the two meet on a key that is unique.
+    both = with_tokens("r").join(with_tokens("s"), ["rid", "sid"])
+    similar = both.select(
         "rid", "sid", "rcopies", "scopies", jaccard(F.col("rtokens"), F.col("stokens")).alias("sim")
     ).where(F.col("sim") >= threshold)
-    return _unfold_copies(similar, records, sets)
+    return _unfold_copies(materialise(similar), records, sets)
 
 
 def _unfold_copies(similar: DataFrame, records: DataFrame, sets: DataFrame) -> DataFrame:
     """Replace each set by all the records that equal it."""
+    single = (F.col("rcopies") == 1) & (F.col("scopies") == 1)
+    unique, pairs = similar.where(single), similar.where(~single)
+    if pairs.isEmpty():
+        return unique.select("rid", "sid", "sim")
     copied = sets.where("copies > 1").select(
         F.concat("side", _digest(F.col("tokens.token"))).alias("content"),
         F.col("side"),
@@ -140,15 +149,15 @@ def _unfold_copies(similar: DataFrame, records: DataFrame, sets: DataFrame) -> D
     )
     contents = records.select(F.concat("side", _digest(F.col("tokens"))).alias("content"), "id")
     members = materialise(lookup_join(contents, copied, key="content", weight="copies"))
-    pairs = similar
     for side in ("r", "s"):
         own = members.where(F.col("side") == side).select(
             F.col("first_id").alias(f"{side}id"), F.col("id").alias("member")
         )
-        pairs = materialise(pairs)
         copies = F.col(f"{side}copies")
         unfolded = balanced_join(pairs.where(copies > 1), own, [f"{side}id"])
         pairs = pairs.where(copies == 1).unionByName(
             unfolded.withColumn(f"{side}id", F.col("member")).drop("member")
         )
-    return pairs.select("rid", "sid", "sim")
+        if side == "r":  # the next join reads its input twice
+            pairs = materialise(pairs)
+    return unique.unionByName(pairs).select("rid", "sid", "sim")

@@ -8,20 +8,32 @@ too light to unbalance a shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fewer than this many rows are ever broadcast by ``lookup_join``.
 LOOKUP_HEAVY_KEYS = 100_000
-# Longer keys take the shuffle path, so the broadcast is bounded in bytes too.
-LOOKUP_HEAVY_KEY_BYTES = 256
-# Fewer than this many keys are ever split by ``balanced_join``.
+# Fewer than twice as many keys are ever split by ``balanced_join``.
 SPLIT_HEAVY_KEYS = 10_000
+# Longer keys are treated as light, so that broadcasts are bounded in bytes too.
+HEAVY_KEY_BYTES = 256
 # A split key is cut into cells of at most about this many rows a side.
 SPLIT_CELL_ROWS = 20_000
 
 
+def _if_short(keyed: DataFrame, keys: list[str], weight: Column) -> Column:
+    """``weight``, or 0 for keys with a long string.
+
+    Asked of the weight and not as a filter on the key: that would be pushed below the
+    aggregation that made the weight, whose exchange could then not be reused.
+    """
+    for key in keys:
+        if isinstance(keyed.schema[key].dataType, T.StringType):
+            weight = F.when(F.octet_length(key) <= HEAVY_KEY_BYTES, weight).otherwise(0.0)
+    return weight
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -36,12 +48,7 @@ def lookup_join(
     are most of the rows.  Only the light rest is shuffled on ``key``.
     """
     total = lookup.agg(F.sum(weight)).scalar()
-    share = F.col(weight) * F.lit(heavy_keys)
-    if isinstance(lookup.schema[key].dataType, T.StringType):
-        # Asked of the product and not of the key alone: a filter on the key would be pushed
-        # below the aggregation that made ``lookup``, whose exchange could not be reused then.
-        share = F.when(F.octet_length(key) <= LOOKUP_HEAVY_KEY_BYTES, share).otherwise(F.lit(0))
-    is_heavy = share > total
+    is_heavy = _if_short(lookup, [key], F.col(weight).cast("double")) * heavy_keys > total
     heavy = lookup.where(is_heavy)
     light = lookup.where(~is_heavy)
     met = facts.join(F.broadcast(heavy), key)
@@ -67,10 +74,10 @@ def balanced_join(
         right.select(*on, F.lit(0).alias("l"), F.lit(1).alias("r"))
     )
     sizes = sides.groupBy(*on).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    rows = F.col("l") + F.col("r")
-    result = F.col("l").cast("double") * F.col("r")
+    rows = _if_short(sizes, on, F.col("l").cast("double") + F.col("r"))
+    result = _if_short(sizes, on, F.col("l").cast("double") * F.col("r"))
     total = sizes.agg(F.struct(F.sum(rows).alias("rows"), F.sum(result).alias("result"))).scalar()
-    above_share = (rows * F.lit(heavy_keys) > total.getField("rows")) | (
+    above_share = (rows * heavy_keys > total.getField("rows")) | (
         result * heavy_keys > total.getField("result")
     )
     cells = [

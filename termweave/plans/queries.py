@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from termweave.operators import cooccurrence, cycles, similarity, tfidf
 from termweave.operators.rows import unnest
 from termweave.plans import inputs
+from termweave.runtime import materialise
 from termweave.sources import similarity_lines
 
 THRESHOLD = 0.8
@@ -113,7 +114,7 @@ def prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similarity_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.candidates(prefix_tokens(spark, sf_dir), THRESHOLD)
+    return similarity.candidates(materialise(prefix_tokens(spark, sf_dir)), THRESHOLD)
 
 
 def set_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
