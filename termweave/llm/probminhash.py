@@ -9,7 +9,8 @@ registers estimates the probability Jaccard similarity of two documents.
 Bands of registers make candidates.  A band's bucket may hold any number of documents: each member
 is compared with a few centres of the bucket, never all with all.  A centre is the member whose
 other buckets hold most documents, which is the text that the others derive from, and the members with the
-smallest id and hash.  Candidates whose registers agree enough are verified on their texts, by the
+smallest key and largest hash.  These are the same in most buckets of a group, so a member of a large group
+meets few of them.  Candidates whose registers agree enough are verified on their texts, by the
 exact Jaccard similarity of their shingle sets.  Buckets whose members are then still in several classes get
 new centres, one per class, until no new link is found.
 
@@ -247,7 +248,7 @@ def links_between(texts: DataFrame) -> DataFrame:
     centres = members.groupBy("bucket").agg(
         F.array_distinct(
             F.array(
-                F.max_by("rep", rank), F.min("rep"), F.max_by("rep", F.xxhash64("rep", "bucket"))
+                F.max_by("rep", rank), F.min("rep"), F.max_by("rep", F.xxhash64("rep"))
             )
         ).alias("centres")
     )
