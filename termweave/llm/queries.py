@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termweave.llm import bpe, buckets, crf, dac, hash_tree, probminhash, toxicity
+from termweave.llm import (
+    bpe,
+    buckets,
+    crf,
+    dac,
+    hash_tree,
+    multi_index,
+    pivots,
+    probminhash,
+    templates,
+    toxicity,
+)
 from termweave.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,6 +40,14 @@ def op2_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf.detect_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_pivot_table_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.top_k(table(spark, sf_dir, "embeddings"), scale=64.0, every=20, k=20)
+
+
+def op4_site_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -39,6 +58,10 @@ def op6_optimal_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return buckets.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 def op8_weighted_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_documents(
         table(spark, sf_dir, "documents"), hash_tree.tree(SHARDS), hash_tree.tree(SHARDS + 1)
@@ -58,13 +81,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         op1_directly_addressable_codes,
         op2_crf_language_id,
+        op3_pivot_table_top_k,
+        op4_site_template_removal,
         op5_pu_toxicity,
         op6_optimal_length_buckets,
+        op7_inverted_multi_index,
         op8_weighted_hash_tree,
         op9_probminhash_near_duplicates,
         op10_backtracking_bpe,
     )
 }
 
-# SQL has no counterpart for the others; tests hold those against brute force.
-ORACLES: dict[str, str] = {}
+# SQL for the exact search; the others have none, and tests hold those against brute force.
+ORACLES: dict[str, str] = {
+    "op3_pivot_table_top_k": """
+        WITH cast_rows AS (
+            SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        ), fine AS (
+            SELECT vec_id, min(list_transform(v, lambda x: floor(64 * x))) AS v FROM cast_rows
+            WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            GROUP BY vec_id
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM fine q JOIN fine c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+        ), ranked AS (
+            SELECT query_id, row_number() OVER (
+                PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+}
