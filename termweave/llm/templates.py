@@ -1,9 +1,10 @@
 """Main text of web pages by removal of site templates.
 
-Each element subtree of a page is hashed (its tag, its text and its children's hashes), and Spark counts per
-host on how many pages a subtree stands at a place, a place being the chain of tags and classes that leads to
-it.  A subtree is a template if it stands on many pages (``LEAST_PAGES``), at a place of which nearly all
-subtrees of that host do (``PLACE_SHARE``): menus, adverts and footers rotate among a few variants, while
+Each element subtree of a page is hashed (its tag, its text and its children's hashes), and Spark counts on
+how many pages a subtree stands at a place, a place being a host and the chain of tags and classes that
+leads to the element.  A subtree is a template if it stands on many pages (``LEAST_PAGES``), at a place of which nearly all
+subtrees do 
+(``PLACE_SHARE``): menus, adverts and footers rotate among a few variants, while
 articles that are copied between pages share their place with others that are not.  Templates are deleted, unless
 that would leave a page without text.
 
@@ -31,6 +32,8 @@ from termweave.llm.common import written
 
 LEAST_PAGES = 10
 PLACE_SHARE = 0.9
+# So many templates (16 bytes each) are broadcast at most.
+FEW_TEMPLATES = 200_000
 
 # Element names of the HTML standard by how they are treated.
 VOID = frozenset(
@@ -197,13 +200,13 @@ def _hash(root: Node) -> None:
         node.key = xxhash.xxh3_64_intdigest("\0".join(parts)) - (1 << 63)
 
 
-def subtrees(root: Node) -> Iterator[tuple[int, int]]:
-    """``(place, key)`` of all elements outside the page's head."""
+def subtrees(root: Node, host: str) -> Iterator[tuple[int, int]]:
+    """``(place, key)`` of all elements outside the page's head; a place belongs to a host."""
     todo = [root]
     while todo:
         node = todo.pop()
         if node.tag:
-            yield xxhash.xxh3_64_intdigest(node.place) - (1 << 63), node.key
+            yield xxhash.xxh3_64_intdigest(f"{host}\0{node.place}") - (1 << 63), node.key
         todo += [
             child for child in node.children if isinstance(child, Node) and child.tag != "head"
         ]
@@ -276,44 +279,47 @@ def _host() -> Column:
     return F.coalesce(host, F.lit(""))
 
 
-def site_templates(
-    pages: DataFrame, least_pages: int = LEAST_PAGES, place_share: float = PLACE_SHARE
-) -> DataFrame:
-    """``(page, templates)``: keys of the template subtrees of those pages that have any.
-
-    ``pages`` is ``(page, host, html)``, with a key of the page's content.
-    """
+def _subtrees(pages: DataFrame) -> DataFrame:
+    """``(page, place, key)``: each subtree of a page once."""
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = [
-                (page, host, place, key)
+                (page, place, key)
                 for page, host, html in zip(
                     batch["page"], batch["host"], batch["html"], strict=True
                 )
-                for place, key in set(subtrees(parse(html or "")))
+                for place, key in set(subtrees(parse(html or ""), host))
             ]
-            yield pd.DataFrame(out, columns=["page", "host", "place", "key"])
+            yield pd.DataFrame(out, columns=["page", "place", "key"])
+
+    columns = pages.select("page", "host", "html")
+    return columns.mapInPandas(listed, "page long, place long, key long")
 
-    found = written(pages.mapInPandas(listed, "page long, host string, place long, key long"))
-    counts = written(found.groupBy("host", "place", "key").agg(F.count("*").alias("n")))
+
+def site_templates(
+    found: DataFrame, least_pages: int = LEAST_PAGES, place_share: float = PLACE_SHARE
+) -> DataFrame:
+    """``(place, key)`` of the template subtrees of all hosts."""
+    counts = written(found.groupBy("place", "key").agg(F.count("*").alias("n")))
     many = F.col("n") >= least_pages
     places = (
-        counts.groupBy("host", "place")
+        counts.groupBy("place")
         .agg(F.sum("n").alias("all"), F.sum(F.when(many, F.col("n"))).alias("recurring"))
         .where(F.col("recurring") >= place_share * F.col("all"))
-        .select("host", "place")
-    )
-    recurring = counts.where(many).join(places, ["host", "place"]).select("host", "place", "key")
-    return (
-        found.join(recurring, ["host", "place", "key"])
-        .groupBy("page")
-        .agg(F.collect_set("key").alias("templates"))
+        .select("place")
     )
+    return written(counts.where(many).join(places, "place").select("place", "key"))
 
 
-def extract_pages(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """``(page_id, url, text, n_chars)`` of ``(page_id, url, html)``."""
+def extract_pages(
+    pages: DataFrame, least_pages: int = LEAST_PAGES, few: int = FEW_TEMPLATES
+) -> DataFrame:
+    """``(page_id, url, text, n_chars)`` of ``(page_id, url, html)``.
+
+    Up to ``few`` templates are sent to all tasks, which so leave the pages in their place; more are
+    joined to the subtrees of each page, and then to the page.  Both give the same texts.
+    """
     keyed = pages.select(
         "page_id",
         "url",
@@ -322,21 +328,39 @@ def extract_pages(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame
         # Rows that agree in all of these have the same templates.
         F.xxhash64("page_id", "url", "html").alias("page"),
     )
-    templates = site_templates(keyed.select("page", "host", "html"), least_pages)
-
-    @F.pandas_udf("string")
-    def extracted(html: pd.Series, keys: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                main_text(parse(page), frozenset(() if found is None else found.tolist()))
-                if page
-                else ""
-                for page, found in zip(html, keys, strict=True)
-            ],
-            dtype="str",
+    found = _subtrees(keyed)
+    templates = site_templates(found, least_pages)
+    if templates.count() <= few:
+        known = pages.sparkSession.sparkContext.broadcast(
+            frozenset((row["place"], row["key"]) for row in templates.collect())
         )
 
-    texts = keyed.join(templates, "page", "left").select(
-        "page_id", "url", extracted("html", "templates").alias("text")
-    )
+        @F.pandas_udf("string")
+        def extracted(html: pd.Series, host: pd.Series) -> pd.Series:
+            texts = []
+            for page, name in zip(html, host, strict=True):
+                root = parse(page or "")
+                gone = frozenset(key for place, key in subtrees(root, name) if (place, key) in known.value)
+                texts.append(main_text(root, gone))
+            return pd.Series(texts, dtype="str")
+
+        texts = keyed.select("page_id", "url", extracted("html", "host").alias("text"))
+    else:
+        by_page = (
+            found.join(templates, ["place", "key"])
+            .groupBy("page")
+            .agg(F.collect_set("key").alias("templates"))
+        )
+
+        @F.pandas_udf("string")
+        def extracted_by_page(html: pd.Series, keys: pd.Series) -> pd.Series:
+            texts = [
+                main_text(parse(page or ""), frozenset(() if own is None else own.tolist()))
+                for page, own in zip(html, keys, strict=True)
+            ]
+            return pd.Series(texts, dtype="str")
+
+        texts = keyed.join(by_page, "page", "left").select(
+            "page_id", "url", extracted_by_page("html", "templates").alias("text")
+        )
     return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
