@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termweave.llm.common import Memo, fraction, once
+from termweave.llm.common import Memo, fraction, once, written
 
 POSITIVES = 4_000
 UNLABELLED = 12_000
@@ -120,33 +120,83 @@ def _border(f: np.ndarray, positive: np.ndarray, prior: float) -> float:
     return float((ordered[at] + ordered[at + 1]) / 2)
 
 
-def fit(rows: list[np.ndarray], positive: np.ndarray, prior: float) -> Model:
-    """A model from feature sets of positive and of unlabelled texts."""
-    n_pos, n_unl = int(positive.sum()), int((~positive).sum())
-    if not n_pos or not n_unl:
-        return Model(np.zeros(0, dtype=np.int64), np.zeros(0), -40.0 if not n_pos else 0.0)
-    size = 1 << BITS
-    pos = np.bincount(np.concatenate([r for r, p in zip(rows, positive) if p]), minlength=size)
-    unl = np.bincount(np.concatenate([r for r, p in zip(rows, positive) if not p]), minlength=size)
-    share_pos, share_unl = pos / n_pos, unl / n_unl
-    pooled = (pos + unl) / (n_pos + n_unl)
-    errors = (share_pos - share_unl) / np.sqrt(
-        np.maximum(pooled * (1 - pooled), 1e-12) * (1 / n_pos + 1 / n_unl)
-    )
-    kept = np.flatnonzero((pos >= LEAST_POSITIVES) & (errors >= LEAST_ERRORS))
-    place = np.full(size, -1)
-    place[kept] = np.arange(len(kept))
-    chosen = [place[row] for row in rows]
-    chosen = [row[row >= 0] for row in chosen]
-    weights, bias = _descend(chosen, positive, len(kept), min(max(prior, 0.01), 0.5))
-    return Model(kept, weights, bias)
-
-
 def _sampled(docs: DataFrame, ids: DataFrame, positive: bool) -> DataFrame:
     picked = docs.join(F.broadcast(ids.distinct()), "doc_id", "left_semi")
     return picked.select("text", F.lit(positive).alias("positive"))
 
 
+def _constant(bias: float) -> Model:
+    return Model(np.zeros(0, dtype=np.int64), np.zeros(0), bias)
+
+
+def _featured(sample: DataFrame) -> DataFrame:
+    """``(positive, features)`` of ``(positive, text)``; features as 32-bit numbers in order."""
+
+    def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo = once(("pu-features",), lambda: Memo(word_features, KEPT_WORDS))
+        for batch in batches:
+            found = [sorted(text_features(text, memo)) for text in batch["text"]]
+            yield pd.DataFrame(
+                {
+                    "positive": batch["positive"],
+                    "features": [np.array(row, dtype="<u4").tobytes() for row in found],
+                }
+            )
+
+    return written(sample.mapInPandas(featured, "positive boolean, features binary"))
+
+
+def _telling_features(featured: DataFrame, n_pos: int, n_unl: int) -> np.ndarray:
+    """Features that positives have significantly more often; counted by Spark."""
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros((2, 1 << BITS), dtype=np.int64)
+        for batch in batches:
+            for positive, features in zip(batch["positive"], batch["features"], strict=True):
+                counts[int(positive), np.frombuffer(features, "<u4")] += 1
+        met = np.flatnonzero(counts.any(axis=0))
+        for at in range(0, len(met), 10_000):
+            part = met[at : at + 10_000]
+            yield pd.DataFrame({"feature": part, "unl": counts[0, part], "pos": counts[1, part]})
+
+    counts = (
+        featured.mapInPandas(counted, "feature long, unl long, pos long")
+        .groupBy("feature")
+        .agg(F.sum("pos").alias("pos"), F.sum("unl").alias("unl"))
+    )
+    pooled = (F.col("pos") + F.col("unl")) / (n_pos + n_unl)
+    deviation = F.sqrt(
+        F.greatest(pooled * (1 - pooled), F.lit(1e-12)) * (1 / n_pos + 1 / n_unl)
+    )
+    more = F.col("pos") / n_pos - F.col("unl") / n_unl
+    kept = counts.where((F.col("pos") >= LEAST_POSITIVES) & (more >= LEAST_ERRORS * deviation))
+    # At most 2 ** BITS, and so few only where texts are few.
+    return np.sort(np.array([row["feature"] for row in kept.select("feature").collect()], dtype=int))
+
+
+def fit(sample: DataFrame, prior: float) -> Model:
+    """A model from texts ``(positive, text)``, the others being unlabelled."""
+    featured = _featured(sample)
+    sizes = {row["positive"]: row["count"] for row in featured.groupBy("positive").count().collect()}
+    n_pos, n_unl = sizes.get(True, 0), sizes.get(False, 0)
+    if not n_pos or not n_unl:
+        return _constant(-40.0 if not n_pos else 0.0)
+    kept = _telling_features(featured, n_pos, n_unl)
+
+    def narrowed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [np.frombuffer(row, "<u4").astype(np.int64) for row in batch["features"]]
+            found = [np.flatnonzero(np.isin(kept, row)).astype("<u4").tobytes() for row in rows]
+            yield pd.DataFrame({"positive": batch["positive"], "features": found})
+
+    got = featured.mapInPandas(narrowed, featured.schema).collect()
+    got.sort(key=lambda row: (row["positive"], row["features"]))
+    rows = [np.frombuffer(row["features"], "<u4").astype(np.int64) for row in got]
+    positive = np.array([row["positive"] for row in got], dtype=bool)
+    weights, bias = _descend(rows, positive, len(kept), min(max(prior, 0.01), 0.5))
+    return Model(kept, weights, bias)
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on a bounded sample of ``(doc_id, text)`` and ``(doc_id, toxic)``, without held-out rows."""
     labelled = (
@@ -156,33 +206,19 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     )
     n, n_toxic = labelled.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n_toxic:
-        return fit([], np.zeros(0, dtype=bool), DEFAULT_PRIOR)
+        return _constant(-40.0)
     prior = n_toxic / n if n_toxic < n else DEFAULT_PRIOR
     texts = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
     n_docs = texts.select("doc_id").count()
     if not n_docs:
-        return fit([], np.zeros(0, dtype=bool), prior)
+        return _constant(-40.0)
     number = fraction("doc_id")
     toxic_ids = labelled.where((F.col("toxic") == 1) & (number < POSITIVES / n_toxic))
     any_ids = texts.where(number >= 1 - UNLABELLED / n_docs)
     sample = _sampled(texts, toxic_ids.select("doc_id"), True).unionByName(
         _sampled(texts, any_ids.select("doc_id"), False)
     )
-
-    def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = once(("pu-features",), lambda: Memo(word_features, KEPT_WORDS))
-        for batch in batches:
-            found = [sorted(text_features(text, memo)) for text in batch["text"]]
-            yield pd.DataFrame(
-                {
-                    "positive": batch["positive"],
-                    "features": [np.array(row, dtype="<u4").tobytes() for row in found],
-                }
-            )
-
-    got = sample.mapInPandas(featured, "positive boolean, features binary").collect()
-    rows = [np.frombuffer(row["features"], "<u4").astype(np.int64) for row in got]
-    return fit(rows, np.array([row["positive"] for row in got], dtype=bool), prior)
+    return fit(sample, prior)
 
 
 def scorer(docs: DataFrame, model: Model):
