@@ -116,12 +116,15 @@ class Memo(dict):
         return value
 
 
-_PER_PROCESS: dict = {}
+_KEPT: list = []
 
 
 def once(key: tuple, make: Callable[[], object]):
-    """``make()``, kept for later tasks of the same Python process; one entry per kind."""
-    kind = key[0]
-    if _PER_PROCESS.get(kind, (None,))[0] != key:
-        _PER_PROCESS[kind] = (key, make())
-    return _PER_PROCESS[kind][1]
+    """``make()``, kept for later tasks of the same Python process.
+
+    Only the latest key's is kept, so that what operators remember does not add up.
+    """
+    if not _KEPT or _KEPT[0] != key:
+        _KEPT.clear()
+        _KEPT.extend((key, make()))
+    return _KEPT[1]

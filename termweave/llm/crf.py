@@ -42,7 +42,9 @@ SEQUENCE = 48
 BITS = 15
 LEXICON_LEAST = 3
 LEXICON_SHARE = 0.8
-KEPT_WORDS = 400_000
+# Words and pieces of text that a process remembers before it starts anew.
+KEPT_WORDS = 300_000
+KEPT_PIECES = 500_000
 TOGETHER = 1 << 21
 UNDETERMINED = "und"
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -317,7 +319,7 @@ class Labeller:
 
     def lookup(self, texts: list[str | None]) -> list[np.ndarray]:
         """Rows of ``table`` for the words of each text that have letters."""
-        if self.used > KEPT_WORDS:  # start anew, so that memory stays bounded
+        if self.used > KEPT_WORDS or len(self.rows) > KEPT_PIECES:
             self.rows, self.words, self.used = {}, {"": 0}, 1
         cut = [(text or "").split() for text in texts]
         new = {piece for piece in set().union(*cut) if piece not in self.rows}

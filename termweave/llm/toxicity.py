@@ -41,7 +41,7 @@ BITS = 20
 # the unlabelled by so many standard errors.
 LEAST_POSITIVES = 3
 LEAST_ERRORS = 5.0
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
