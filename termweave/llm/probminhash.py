@@ -7,12 +7,10 @@ than the last register's are of no use, so each process ends as soon as it passe
 registers estimates the probability Jaccard similarity of two documents.
 
 Bands of registers make candidates.  A band's bucket may hold any number of documents: each member
-is compared with a few centres of the bucket, never all with all.  A centre is the member whose
-other buckets hold most documents, which is the text that the others derive from, and the members with the
-smallest key and largest hash.  These are the same in most buckets of a group, so a member of a large group
-meets few of them.  Candidates whose registers agree enough are verified on their texts, by the
+is compared with the bucket's centre, never all with all.  The centre is the member whose other
+buckets hold most documents, which is the text that the others derive from.  Candidates whose registers agree enough are verified on their texts, by the
 exact Jaccard similarity of their shingle sets.  Buckets whose members are then still in several classes get
-new centres, one per class, until no new link is found.
+two more centres, from their largest classes, until no new link is found.
 
 Equal texts are one text throughout, known by 128 bits of their content, and are not compared.
 Texts of fewer than ``SHINGLE`` words are one shingle.  Null texts, and texts without words, are
@@ -245,14 +243,8 @@ def links_between(texts: DataFrame) -> DataFrame:
     popular = members.groupBy("rep").agg(F.sum("n").alias("popularity"))
     members = written(members.select("rep", "bucket").join(popular, "rep"))
     rank = F.struct("popularity", "rep")
-    centres = members.groupBy("bucket").agg(
-        F.array_distinct(
-            F.array(
-                F.max_by("rep", rank), F.min("rep"), F.max_by("rep", F.xxhash64("rep"))
-            )
-        ).alias("centres")
-    )
-    tried = written(_pairs(centres.select("bucket", F.explode("centres").alias("centre")), members))
+    centres = members.groupBy("bucket").agg(F.max_by("rep", rank).alias("centre"))
+    tried = written(_pairs(centres, members))
     links = written(_verified(_agree(tried, marks), texts))
     while True:
         classes = components(links)
