@@ -2,27 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 
 
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and continue from there.
 
-    The folder is the cluster's own ``spark.checkpoint.dir``.  Only a local session
-    (tests, bench) may fall back to a temporary folder: on a cluster that would be
-    one machine's disk, lost with the machine.
+    The folder is the session's ``spark.checkpoint.dir``.  A session without that setting uses
+    its warehouse, which driver and executors share as well.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-            folder = tempfile.mkdtemp(prefix="termweave-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(folder or spark.conf.get("spark.sql.warehouse.dir") + "/_intermediate")
     return df.checkpoint()
 
 

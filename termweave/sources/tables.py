@@ -6,22 +6,5 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scan(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """The named columns of a parquet table.
-
-    A table that fits one input split is often a single row group, hence a single
-    task for everything up to the next exchange.  Such a table, and only such a one,
-    is spread over the cores; larger tables arrive in enough splits by themselves.
-    """
-    table = spark.read.parquet(path).select(*columns)
-    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")):
-        return table
-    return table.repartition(spark.sparkContext.defaultParallelism)
-
-
-def _bytes(setting: str) -> int:
-    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    digits = setting.strip().lower().removesuffix("b")
-    if digits and digits[-1] in units:
-        return int(digits[:-1]) * units[digits[-1]]
-    return int(digits)
+    """The named columns of a parquet table; Spark's settings decide the splits."""
+    return spark.read.parquet(path).select(*columns)
