@@ -8,6 +8,7 @@ from conftest import rows
 
 import __spark_entry__ as contract
 from termweave.plans import inputs
+from termweave.plans.queries import QUERIES
 
 TABLES = Path("/root/testdata/sf0.001")
 
@@ -21,7 +22,7 @@ def database():
 
 
 @pytest.mark.skipif(not TABLES.exists(), reason="no tables")
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, database, name):
     found = contract.queries()[name](spark, str(TABLES)).toPandas()
     expected = database.execute(contract.oracle_sql()[name]).df()
