@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ def saved(tmp_path, text):
 
 def test_documents_of_lines(spark, tmp_path):
     path = saved(tmp_path, "2 Two words\r\n\r\n10\n x\n'7' seven\n")
-    assert sorted(rows(read_documents(spark, path))) == [
+    assert sorted(rows(read_documents(spark, path, rejects="drop"))) == [
         (2, ["Two", "words"]),
         (7, ["seven"]),
         (10, []),
@@ -56,18 +57,36 @@ def test_documents_of_lines(spark, tmp_path):
 
 def test_edges_of_lines(spark, tmp_path):
     path = saved(tmp_path, "0 0 1\r\n1 0 2\r\n\r\nx 1 y\r\n3 5\r\n")
-    assert sorted(rows(read_edges(spark, path))) == [(0, 0, 1), (1, 0, 2)]
+    assert sorted(rows(read_edges(spark, path, rejects="drop"))) == [(0, 0, 1), (1, 0, 2)]
     lines = spark.read.text(path).withColumnRenamed("value", "line")
     assert parse_edges(lines).where("src IS NULL OR dst IS NULL").count() == 2
 
 
 def test_token_sets_of_lines(spark, tmp_path):
     path = saved(tmp_path, "4 b  a b\n5\n\nid a\n")
-    assert sorted(rows(read_token_sets(spark, path))) == [(4, ["b", "a"]), (5, [])]
+    assert sorted(rows(read_token_sets(spark, path, rejects="drop"))) == [(4, ["b", "a"]), (5, [])]
     lines = spark.read.text(path).withColumnRenamed("value", "line")
     assert parse_token_sets(lines).where("id IS NULL").count() == 1
 
 
+@pytest.mark.parametrize(
+    ("reader", "text"),
+    [
+        (read_edges, "0 0 1\n1\t1\t2\n"),
+        (read_edges, "0 0 1\n1  1 2\n"),
+        (read_documents, "1 a\nx b\n"),
+        (read_token_sets, "1 a\nx b\n"),
+    ],
+)
+def test_rejected_lines_are_seen(spark, tmp_path, reader, text):
+    path = saved(tmp_path, text)
+    with pytest.raises(Exception, match="not a line of"):
+        reader(spark, path).collect()
+    assert reader(spark, path, rejects="drop").count() == 1
+    with pytest.raises(ValueError, match="rejects"):
+        reader(spark, path, rejects="other")
+
+
 def parts(folder):
     return [part.read_text() for part in sorted(folder.glob("part-*"))]
 
