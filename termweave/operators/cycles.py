@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termweave.operators.skew import balanced_join, lookup_join
-from termweave.runtime import materialise
+from termweave.runtime import stored
 
 
 def vertices(edges: DataFrame) -> DataFrame:
@@ -34,14 +34,14 @@ def simple_paths(edges: DataFrame, k: int) -> DataFrame:
     """``(path, n)``: paths of ``k`` different vertices, ``n`` choices of parallel edges each."""
     if k < 2:
         raise ValueError("a path needs k >= 2 vertices")
-    known = weighted_edges(edges)
+    known = stored(weighted_edges(edges))
     steps = known.select(
         F.col("src").alias("end"), F.col("dst").alias("next"), F.col("n").alias("step_n")
     )
     paths = known.select(F.array("src", "dst").alias("path"), F.col("dst").alias("end"), "n")
     for extension in range(k - 2):
         if extension:  # the join reads its input twice
-            paths = materialise(paths)
+            paths = stored(paths)
         paths = (
             balanced_join(paths, steps, ["end"])
             .where(~F.array_contains("path", F.col("next")))
@@ -59,7 +59,7 @@ def ranked_edges(edges: DataFrame) -> DataFrame:
 
     A vertex without incoming or without outgoing edge is on no cycle.
     """
-    known = weighted_edges(edges)
+    known = stored(weighted_edges(edges))
     ends = known.select(
         F.explode(
             F.array(
@@ -68,7 +68,7 @@ def ranked_edges(edges: DataFrame) -> DataFrame:
             )
         ).alias("end")
     ).select("end.*")
-    degrees = (
+    degrees = stored(
         ends.groupBy("vertex")
         .agg(F.count("*").alias("degree"), F.sum("out").alias("out"))
         .where("out > 0 AND out < degree")
@@ -101,7 +101,7 @@ def _half_cycles(ranked: DataFrame, length: int) -> DataFrame:
     )
     for extension in range(length - 1):
         if extension:  # the join reads its input twice
-            paths = materialise(paths)
+            paths = stored(paths)
         paths = (
             balanced_join(paths, steps, ["end"])
             .where(_lower("next", "start") & ~F.array_contains("inner", F.col("next")))
@@ -123,7 +123,7 @@ def _halves(edges: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
         no_degree = (F.lit(0).alias(f"{side}_degree") for side in ("src", "dst"))
         ranked = weighted_edges(edges).select("*", *no_degree)
     else:
-        ranked = materialise(ranked_edges(edges))
+        ranked = stored(ranked_edges(edges))
     reverse = ranked.select(
         F.col("dst").alias("src"),
         F.col("dst_degree").alias("src_degree"),
@@ -136,7 +136,7 @@ def _halves(edges: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
 
 def simple_cycles(edges: DataFrame, k: int) -> DataFrame:
     """``(cycle, n)``: each directed simple cycle of ``k`` vertices once, smallest id first."""
-    forward, backward = (materialise(half) for half in _halves(edges, k))
+    forward, backward = (stored(half) for half in _halves(edges, k))
     back = backward.select("start", "end", F.col("inner").alias("back"), F.col("n").alias("back_n"))
     met = balanced_join(forward, back, ["start", "end"]).where(~F.arrays_overlap("inner", "back"))
     around = met.select(

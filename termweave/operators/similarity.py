@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from termweave.operators.rows import unnest
 from termweave.operators.skew import balanced_join, lookup_join
-from termweave.runtime import materialise
+from termweave.runtime import stored
 
 SIMILARITY_DIGITS = 6
 # The threshold is applied to the rounded similarity, so the filters let through all
@@ -46,8 +46,9 @@ def canonical_order(records: DataFrame) -> DataFrame:
     Records without tokens are left out.
     """
     keys = [column for column in records.columns if column != "tokens"]
+    records = stored(records)
     tokens = unnest(records, "tokens", "token")
-    counted = lookup_join(tokens, token_frequency(records), key="token", weight="freq")
+    counted = lookup_join(tokens, stored(token_frequency(records)), key="token", weight="freq")
     return counted.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("freq", "token"))).alias("tokens")
     )
@@ -109,15 +110,23 @@ def _digest(tokens: Column) -> Column:
 
 def set_similarity_join(r: DataFrame, s: DataFrame, threshold: float) -> DataFrame:
     """``(rid, sid, sim)`` of all pairs whose rounded similarity reaches the threshold."""
-    records = two_sided(r, s)
-    distinct_sets = (
-        records.select("side", "id", F.array_sort("tokens").alias("tokens"))
-        .groupBy("side", "tokens")
-        .agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    return join_records(two_sided(r, s), threshold)
+
+
+def join_records(records: DataFrame, threshold: float) -> DataFrame:
+    """``set_similarity_join`` of both sides in one table ``(side, id, tokens)``."""
+    content = F.concat("side", _digest(F.col("tokens"))).alias("content")
+    records = stored(records.where(F.size("tokens") > 0).select("side", "id", "tokens", content))
+    # One record of each content, found without the token arrays.
+    firsts = stored(
+        records.groupBy("side", "content").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    )
+    distinct_sets = records.select("side", "id", "tokens").join(
+        firsts.select("side", "id", "copies"), ["side", "id"]
     )
-    sets = materialise(canonical_order(distinct_sets))
-    prefix = materialise(prefixes(sets, threshold))
-    pairs = materialise(candidates(prefix, threshold, positional=True))
+    sets = stored(canonical_order(distinct_sets))
+    prefix = stored(prefixes(sets, threshold))
+    pairs = stored(candidates(prefix, threshold, positional=True))
 
     def with_tokens(side: str) -> DataFrame:
         known = sets.where(F.col("side") == side).select(
@@ -132,32 +141,24 @@ def set_similarity_join(r: DataFrame, s: DataFrame, threshold: float) -> DataFra
     similar = both.select(
         "rid", "sid", "rcopies", "scopies", jaccard(F.col("rtokens"), F.col("stokens")).alias("sim")
     ).where(F.col("sim") >= threshold)
-    return _unfold_copies(materialise(similar), records, sets)
+    return _unfold_copies(stored(similar), records.select("content", "id"), firsts)
 
 
-def _unfold_copies(similar: DataFrame, records: DataFrame, sets: DataFrame) -> DataFrame:
+def _unfold_copies(similar: DataFrame, contents: DataFrame, firsts: DataFrame) -> DataFrame:
     """Replace each set by all the records that equal it."""
-    single = (F.col("rcopies") == 1) & (F.col("scopies") == 1)
-    unique, pairs = similar.where(single), similar.where(~single)
-    if pairs.isEmpty():
-        return unique.select("rid", "sid", "sim")
-    copied = sets.where("copies > 1").select(
-        F.concat("side", _digest(F.col("tokens.token"))).alias("content"),
-        F.col("side"),
-        F.col("id").alias("first_id"),
-        "copies",
+    copied = firsts.where("copies > 1").select(
+        "content", "side", F.col("id").alias("first_id"), "copies"
     )
-    contents = records.select(F.concat("side", _digest(F.col("tokens"))).alias("content"), "id")
-    members = materialise(lookup_join(contents, copied, key="content", weight="copies"))
+    members = stored(lookup_join(contents, copied, key="content", weight="copies"))
     for side in ("r", "s"):
         own = members.where(F.col("side") == side).select(
             F.col("first_id").alias(f"{side}id"), F.col("id").alias("member")
         )
         copies = F.col(f"{side}copies")
-        unfolded = balanced_join(pairs.where(copies > 1), own, [f"{side}id"])
-        pairs = pairs.where(copies == 1).unionByName(
+        unfolded = balanced_join(similar.where(copies > 1), own, [f"{side}id"])
+        similar = similar.where(copies == 1).unionByName(
             unfolded.withColumn(f"{side}id", F.col("member")).drop("member")
         )
         if side == "r":  # the next join reads its input twice
-            pairs = materialise(pairs)
-    return unique.unionByName(pairs).select("rid", "sid", "sim")
+            similar = stored(similar)
+    return similar.select("rid", "sid", "sim")

@@ -12,26 +12,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fewer than this many rows are ever broadcast by ``lookup_join``.
+from termweave.runtime import shuffle_partitions, stored
+
+# At most about this many rows are broadcast by ``lookup_join``, and split by ``balanced_join``; more
+# where the shuffle is so wide that lighter keys would stand out, too.
 LOOKUP_HEAVY_KEYS = 100_000
-# Fewer than twice as many keys are ever split by ``balanced_join``.
 SPLIT_HEAVY_KEYS = 10_000
-# Longer keys are treated as light, so that broadcasts are bounded in bytes too.
-HEAVY_KEY_BYTES = 256
+# Longer keys are broadcast as a digest of fixed size.
+SHORT_KEY_BYTES = 64
 # A split key is cut into cells of at most about this many rows a side.
 SPLIT_CELL_ROWS = 20_000
 
 
-def _if_short(keyed: DataFrame, keys: list[str], weight: Column) -> Column:
-    """``weight``, or 0 for keys with a long string.
+def _share(df: DataFrame, least: int) -> int:
+    """So many keys that those outside weigh less than half a mean shuffle partition."""
+    return max(least, 2 * shuffle_partitions(df))
 
-    Asked of the weight and not as a filter on the key: that would be pushed below the
-    aggregation that made the weight, whose exchange could then not be reused.
-    """
-    for key in keys:
-        if isinstance(keyed.schema[key].dataType, T.StringType):
-            weight = F.when(F.octet_length(key) <= HEAVY_KEY_BYTES, weight).otherwise(0.0)
-    return weight
+
+def _bounded(df: DataFrame, key: str) -> Column:
+    """``key``, or what stands for it in few bytes; a digest is longer than any key kept as it is."""
+    kind = df.schema[key].dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        raw = F.col(key).cast("binary")
+        digest = F.concat(F.lit("sha2:"), F.sha2(raw, 256)).cast("binary")
+        return F.when(F.octet_length(key) <= SHORT_KEY_BYTES, raw).otherwise(digest)
+    if isinstance(kind, (T.ArrayType, T.StructType)):
+        return F.sha2(F.to_json(key), 256)
+    return F.col(key)
 
 
 def lookup_join(
@@ -39,28 +46,32 @@ def lookup_join(
     lookup: DataFrame,
     key: str,
     weight: str,
-    heavy_keys: int = LOOKUP_HEAVY_KEYS,
+    heavy_keys: int | None = None,
 ) -> DataFrame:
     """Inner join of ``facts`` with ``lookup``, which has one row per ``key``.
 
     ``weight`` is a column of ``lookup`` that bounds the number of facts of the key.
     Facts of heavy keys meet a broadcast and are not shuffled at all; in text they
-    are most of the rows.  Only the light rest is shuffled on ``key``.
+    are most of the rows.  Only the light rest is shuffled on ``key``.  Both inputs are
+    read more than once: pass ``stored`` tables where they are dear to compute.
     """
+    heavy_keys = heavy_keys or _share(facts, LOOKUP_HEAVY_KEYS)
     total = lookup.agg(F.sum(weight)).scalar()
-    is_heavy = _if_short(lookup, [key], F.col(weight).cast("double")) * heavy_keys > total
-    heavy = lookup.where(is_heavy)
+    is_heavy = F.col(weight).cast("double") * heavy_keys > total
+    heavy = lookup.where(is_heavy).withColumn("_short", _bounded(lookup, key)).drop(key)
     light = lookup.where(~is_heavy)
-    met = facts.join(F.broadcast(heavy), key)
-    rest = facts.join(F.broadcast(heavy.select(key)), key, "left_anti")
-    return met.unionByName(rest.join(light, key))
+    short = facts.withColumn("_short", _bounded(facts, key))
+    columns = [*facts.columns, *(c for c in lookup.columns if c != key)]
+    met = short.join(F.broadcast(heavy), "_short").select(*columns)
+    rest = short.join(F.broadcast(heavy.select("_short")), "_short", "left_anti").drop("_short")
+    return met.unionByName(rest.join(light, key).select(*columns))
 
 
 def balanced_join(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
-    heavy_keys: int = SPLIT_HEAVY_KEYS,
+    heavy_keys: int | None = None,
     cell_rows: int = SPLIT_CELL_ROWS,
 ) -> DataFrame:
     """Inner equi-join of two sides that may both hold many rows of one key.
@@ -69,13 +80,19 @@ def balanced_join(
     grid: its left rows are dealt to ``l`` cells, its right rows to ``r`` cells, and
     every left cell meets every right cell once.  A row is repeated once per opposite
     cell, at most one copy per ``cell_rows`` result rows.  All other keys have one cell.
+
+    Keys are of the same types on both sides.  They are counted by a 64-bit digest, so keys of
+    any length and type can be split; two keys of one digest are just cut alike.  The counts
+    are stored once, read from the key columns alone.  Equal rows of a side share a cell.
     """
-    sides = left.select(*on, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
-        right.select(*on, F.lit(0).alias("l"), F.lit(1).alias("r"))
+    heavy_keys = heavy_keys or _share(left, SPLIT_HEAVY_KEYS)
+    digest = F.xxhash64(*on).alias("_digest")
+    sides = left.select(digest, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+        right.select(digest, F.lit(0).alias("l"), F.lit(1).alias("r"))
     )
-    sizes = sides.groupBy(*on).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    rows = _if_short(sizes, on, F.col("l").cast("double") + F.col("r"))
-    result = _if_short(sizes, on, F.col("l").cast("double") * F.col("r"))
+    sizes = stored(sides.groupBy("_digest").agg(F.sum("l").alias("l"), F.sum("r").alias("r")))
+    rows = F.col("l").cast("double") + F.col("r")
+    result = F.col("l").cast("double") * F.col("r")
     total = sizes.agg(F.struct(F.sum(rows).alias("rows"), F.sum(result).alias("result"))).scalar()
     above_share = (rows * heavy_keys > total.getField("rows")) | (
         result * heavy_keys > total.getField("result")
@@ -85,12 +102,12 @@ def balanced_join(
         for side in ("l", "r")
     ]
     heavy = F.broadcast(
-        sizes.where((F.greatest("l", "r") > cell_rows) & above_share).select(*on, *cells)
+        sizes.where((F.greatest("l", "r") > cell_rows) & above_share).select("_digest", *cells)
     )
 
     def deal(side: DataFrame, own: str, other: str) -> DataFrame:
         own_cells, other_cells = (F.coalesce(f"{c}_cells", F.lit(1)) for c in (own, other))
-        return side.join(heavy, on, "left").select(
+        return side.withColumn("_digest", digest).join(heavy, "_digest", "left").select(
             *side.columns,
             F.pmod(F.xxhash64(*side.columns), own_cells).cast("int").alias(f"{own}_cell"),
             F.explode(F.sequence(F.lit(0), other_cells - 1)).alias(f"{other}_cell"),

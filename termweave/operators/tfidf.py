@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from termweave.operators.rows import unnest
 from termweave.operators.skew import lookup_join
+from termweave.runtime import stored
 
 
 def term_frequency(docs: DataFrame) -> DataFrame:
@@ -19,12 +20,8 @@ def term_frequency(docs: DataFrame) -> DataFrame:
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:
-    """``(term, df)``: number of documents that contain the term.
-
-    Counting ``tf > 0`` instead of rows keeps ``tf`` in the plan, so that the index
-    reads one exchange of the postings for this count and for its own rows.
-    """
-    return tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    """``(term, df)``: number of documents that contain the term."""
+    return tf.groupBy("term").agg(F.count("*").alias("df"))
 
 
 def corpus_size(docs: DataFrame) -> DataFrame:
@@ -33,8 +30,11 @@ def corpus_size(docs: DataFrame) -> DataFrame:
 
 
 def tfidf_index(docs: DataFrame) -> DataFrame:
-    """``(term, doc_id, tfidf)`` with weight ``tf * log10(N / df)``; zero weights are kept."""
-    tf = term_frequency(docs)
-    postings = lookup_join(tf, document_frequency(tf), key="term", weight="df")
+    """``(term, doc_id, tfidf)`` with weight ``tf * log10(N / df)``; zero weights are kept.
+
+    The text is tokenized and its postings are exchanged once; the rest reads those.
+    """
+    tf = stored(term_frequency(docs))
+    postings = lookup_join(tf, stored(document_frequency(tf)), key="term", weight="df")
     idf = F.log10(corpus_size(docs).scalar().cast("double") / F.col("df"))
     return postings.select("term", "doc_id", (F.col("tf") * idf).alias("tfidf"))

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from termweave.functions import document_tokens, letter_runs, line_tokens
+from termweave.runtime import shared_folder
 from termweave.sources import scan
 
 LINES_PER_CHUNK = 1024
@@ -36,26 +37,35 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = scan(spark, f"{sf_dir}/lineitem.parquet", "l_orderkey", *order).withColumn(
         "chunk", F.floor(F.col("l_linenumber") / LINES_PER_CHUNK)
     )
-    chunk = ("l_orderkey", "chunk")
-    heads = items.groupBy(*chunk).agg(F.min(F.struct(*order)).alias("head"))
-    following = heads.select(
-        *chunk,
-        F.lead("head.l_partkey").over(W.partitionBy("l_orderkey").orderBy("chunk")).alias("after"),
-    ).where("after IS NOT NULL")
+    by = W.partitionBy("l_orderkey", "chunk").orderBy(*order)
     inside = items.select(
-        *chunk,
+        "l_orderkey",
+        "chunk",
         F.col("l_partkey").alias("src"),
-        F.lead("l_partkey").over(W.partitionBy(*chunk).orderBy(*order)).alias("next"),
+        F.lead("l_partkey").over(by).alias("dst"),
+        F.row_number().over(by).alias("at"),
     )
-    return (
-        inside.join(following, [*chunk], "left")
-        .select("src", F.coalesce("next", "after").alias("dst"))
-        .where("dst IS NOT NULL")
+    # Both parts read one exchange; a chunk sends its two ends at most to the next window.
+    along = W.partitionBy("l_orderkey").orderBy("chunk", "at")
+    ends = inside.where("at = 1 OR dst IS NULL").select(
+        "src", "dst", "chunk", F.lead("src").over(along).alias("after")
     )
+    across = ends.where("dst IS NULL AND after IS NOT NULL").select("src", F.col("after").alias("dst"))
+    return inside.where("dst IS NOT NULL").select("src", "dst").unionByName(across)
 
 
-def record_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """``(id, tokens)`` of the documents with even and with odd ids."""
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(side, id, tokens)``: documents with even ids on side ``r``, with odd ids on side ``s``."""
     table = scan(spark, f"{sf_dir}/documents.parquet", "doc_id", "text")
-    sets = table.select(F.col("doc_id").alias("id"), letter_runs(F.col("text")).alias("tokens"))
-    return sets.where(F.col("id") % 2 == 0), sets.where(F.col("id") % 2 != 0)
+    side = F.when(F.col("doc_id") % 2 == 0, "r").otherwise("s").alias("side")
+    return table.select(
+        side, F.col("doc_id").alias("id"), letter_runs(F.col("text")).alias("tokens")
+    )
+
+
+def saved_lines(table: DataFrame, *columns: str) -> str:
+    """The folder of a new text file set with a line ``value value ...`` per row of the table."""
+    path = shared_folder(table.sparkSession)
+    fields = (F.translate(F.col(c).cast("string"), "\r\n", "  ") for c in columns)
+    table.select(F.concat_ws(" ", *fields).alias("value")).write.text(path)
+    return path

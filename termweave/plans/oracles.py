@@ -126,6 +126,16 @@ ORACLES: dict[str, str] = {
     "cycle_count_k2": f"WITH {_EDGES} SELECT count(*) AS n_cycles FROM ({_cycles(2)})",
     "cycle_count_k3": f"WITH {_EDGES} SELECT count(*) AS n_cycles FROM ({_cycles(3)})",
     "cycle_count_k4": f"WITH {_EDGES} SELECT count(*) AS n_cycles FROM ({_cycles(4)})",
+    # Two paths of two edges and a closing edge, counted by distinct edges.
+    "cycle_count_k5": f"""WITH {_EDGES},
+        known AS (SELECT src, dst, count(*) AS n FROM edges WHERE src <> dst GROUP BY ALL),
+        two AS (
+          SELECT a.src AS v1, a.dst AS v2, b.dst AS v3, a.n * b.n AS n
+          FROM known a JOIN known b ON a.dst = b.src AND a.src <> b.dst)
+        SELECT coalesce(sum(p.n * q.n * c.n), 0)::BIGINT AS n_cycles
+        FROM two p JOIN two q ON p.v3 = q.v1 JOIN known c ON c.src = q.v3 AND c.dst = p.v1
+        WHERE p.v1 < p.v2 AND p.v1 < p.v3 AND p.v1 < q.v2 AND p.v1 < q.v3
+          AND p.v2 <> q.v2 AND p.v2 <> q.v3""",
     "record_token_sets": f"""WITH {_SETS}
         SELECT side, id, array_to_string(tokens, ' ') AS tokens FROM records""",
     "token_frequency": f"WITH {_SETS} SELECT token, freq FROM freq",
@@ -139,4 +149,29 @@ ORACLES: dict[str, str] = {
     "set_similarity_join": f"WITH {_SETS} SELECT rid, sid, sim FROM similar_pairs",
     "similarity_report": f"""WITH {_SETS}
         SELECT '(' || rid || ',' || sid || ')' || chr(9) || sim AS value FROM similar_pairs""",
+    "postings_report": f"""WITH {_WORDS},
+        df AS (SELECT term, count(DISTINCT doc_id) AS df FROM tf GROUP BY term)
+        SELECT row_number() OVER (ORDER BY term, doc_id) AS line_no, term, doc_id,
+               round(tf * log10((SELECT count(*) FROM documents)::DOUBLE / df), 9) AS tfidf
+        FROM tf JOIN df USING (term)""",
+    "relative_frequency_report": f"""WITH {_LINES},
+        shares AS (
+          SELECT t1, t2, n::DOUBLE / (sum(n) OVER (PARTITION BY t1))::DOUBLE AS freq FROM pairs)
+        SELECT row_number() OVER (ORDER BY t1, freq DESC, t2) AS line_no, t1, t2, freq FROM shares""",
+    "read_documents": r"""
+        SELECT doc_id, (generate_subscripts(words, 1) - 1)::INTEGER AS pos, unnest(words) AS token
+        FROM (
+          SELECT doc_id,
+                 list_filter(
+                   regexp_split_to_array(
+                     translate(text, chr(13) || chr(10), '  '),
+                     '[ \t\n\f*$&#/"''\\,.:;?!\[\](){}<>~\-_]+'),
+                   lambda x: x <> '') AS words
+          FROM documents)""",
+    "read_edges": "SELECT l_orderkey AS edge_id, l_partkey AS src, l_suppkey AS dst FROM lineitem",
+    "read_token_sets": """
+        SELECT doc_id AS id,
+               unnest(list_distinct(list_filter(
+                 string_split(translate(text, chr(13) || chr(10), '  '), ' '), lambda x: x <> ''))) AS token
+        FROM documents""",
 }

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from termweave import sources
 from termweave.operators import cooccurrence, cycles, similarity, tfidf
 from termweave.operators.rows import unnest
 from termweave.plans import inputs
-from termweave.runtime import materialise
-from termweave.sources import similarity_lines
+from termweave.runtime import materialise, stored
 
 THRESHOLD = 0.8
 
@@ -88,8 +89,12 @@ def cycle_count_k4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cycles.count_cycles(inputs.edges(spark, sf_dir), 4)
 
 
+def cycle_count_k5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cycles.count_cycles(inputs.edges(spark, sf_dir), 5)
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.two_sided(*inputs.record_sides(spark, sf_dir))
+    return inputs.records(spark, sf_dir)
 
 
 def record_token_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,15 +119,69 @@ def prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similarity_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.candidates(materialise(prefix_tokens(spark, sf_dir)), THRESHOLD)
+    return similarity.candidates(stored(prefix_tokens(spark, sf_dir)), THRESHOLD)
 
 
 def set_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.set_similarity_join(*inputs.record_sides(spark, sf_dir), THRESHOLD)
+    return similarity.join_records(_records(spark, sf_dir), THRESHOLD)
 
 
 def similarity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity_lines(set_similarity_join(spark, sf_dir))
+    return sources.similarity_lines(set_similarity_join(spark, sf_dir))
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """``(line_no, value)``: ordered output lines with their place in it, from 1.
+
+    Lines are counted per partition; only those counts, a row per partition, are summed in one task.
+    """
+    kept = materialise(lines).withColumn("at", F.monotonically_increasing_id())
+    kept = kept.select(
+        F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND((1 << 33) - 1).alias("at"), "value"
+    )
+    earlier = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    counts = kept.groupBy("part").agg(F.count("*").alias("n"))
+    before = counts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    place = F.col("before") + F.col("at") + 1
+    return kept.join(F.broadcast(before), "part").select(place.alias("line_no"), "value")
+
+
+def postings_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _numbered(sources.postings_lines(tfidf_inverted_index(spark, sf_dir)))
+    # Engines write small numbers in different ways, so the fields are read back from the line.
+    fields = F.split("value", "[\t,]")
+    return lines.select(
+        "line_no",
+        fields[0].alias("term"),
+        fields[1].cast("bigint").alias("doc_id"),
+        fields[2].cast("double").alias("tfidf"),
+    )
+
+
+def relative_frequency_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _numbered(sources.relative_frequency_lines(relative_term_frequency(spark, sf_dir)))
+    fields = F.split("value", " ")
+    return lines.select(
+        "line_no", fields[0].alias("t1"), fields[1].alias("t2"), fields[2].cast("double").alias("freq")
+    )
+
+
+def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = sources.scan(spark, f"{sf_dir}/documents.parquet", "doc_id", "text")
+    docs = sources.read_documents(spark, inputs.saved_lines(table, "doc_id", "text"))
+    return unnest(docs, "tokens", "token", position="pos")
+
+
+def read_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("l_orderkey", "l_partkey", "l_suppkey")
+    table = sources.scan(spark, f"{sf_dir}/lineitem.parquet", *columns)
+    return sources.read_edges(spark, inputs.saved_lines(table, *columns))
+
+
+def read_token_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = sources.scan(spark, f"{sf_dir}/documents.parquet", "doc_id", "text")
+    sets = sources.read_token_sets(spark, inputs.saved_lines(table, "doc_id", "text"))
+    return unnest(sets, "tokens", "token")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -144,6 +203,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cycle_count_k2,
         cycle_count_k3,
         cycle_count_k4,
+        cycle_count_k5,
         record_token_sets,
         token_frequency,
         canonical_token_order,
@@ -151,5 +211,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         similarity_candidates,
         set_similarity_join,
         similarity_report,
+        postings_report,
+        relative_frequency_report,
+        read_documents,
+        read_edges,
+        read_token_sets,
     )
 }

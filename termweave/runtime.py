@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder name below ``spark.checkpoint.dir``, or else below the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = base or spark.conf.get("spark.sql.warehouse.dir") + "/_intermediate"
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder: later readers take only the columns they need."""
+    spark = df.sparkSession
+    path = shared_folder(spark)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from there.
+    """Write ``df`` to the reliable checkpoint folder and continue from there, partitions kept.
 
     The folder is the session's ``spark.checkpoint.dir``.  A session without that setting uses
     its warehouse, which driver and executors share as well.
