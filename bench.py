@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -34,7 +35,7 @@ HEADLINE = (
 )
 
 
-def main() -> None:
+def main(folder: str) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (
@@ -42,7 +43,7 @@ def main() -> None:
         .appName("termweave-bench")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(2 * int(cpus)))
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.checkpoint.dir", folder)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -71,4 +72,5 @@ def main() -> None:
 
 
 if __name__ == "__main__":
-    main()
+    with tempfile.TemporaryDirectory() as intermediates:
+        main(intermediates)
