@@ -197,32 +197,53 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``(rep, class)`` of ``(a, b)``: the smallest key that links lead to.
 
-    Every round each node takes the smallest label of its neighbours and then that label's
-    own, so long chains shrink quickly; labels stay in tables and only the number of changes is
-    brought back.
+    Every round each node takes the smallest of its neighbours and itself, and then what that
+    one took.  Links are carried over to the nodes taken, and those that now lead from a node
+    to itself are gone, so a round has only what the one before left open: a star is done in
+    one or two.  The smallest node of a class always stays.  All of it stays in tables.
     """
-    both = written(
-        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        .distinct()
-    )
-    labels = written(
-        both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node")
-    )
+    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    edges = written(links.select(*ends).where("a != b").distinct())
+    classes = None
     while True:
-        met = both.join(labels.select(F.col("node").alias("b"), "label"), "b")
-        least = met.groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        stepped = labels.join(least, "node").select(
-            "node", F.col("label").alias("old"), F.least("label", "near").alias("label")
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        taken = written(both.groupBy("a").agg(F.least("a", F.min("b")).alias("near")))
+        jump = taken.select(F.col("a").alias("near"), F.col("near").alias("class"))
+        step = written(taken.join(jump, "near").select(F.col("a").alias("rep"), "class"))
+        classes = step if classes is None else written(_relabelled(classes, step))
+        at_a, at_b = (
+            step.select(F.col("rep").alias(end), F.col("class").alias(f"to_{end}")) for end in "ab"
         )
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        after = written(
-            stepped.join(jump, "label", "left").select(
-                "node", "old", F.least("label", F.coalesce("further", "label")).alias("label")
-            )
+        moved = edges.join(at_a, "a").join(at_b, "b").where("to_a != to_b")
+        edges = written(
+            moved.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
+            .distinct()
         )
-        labels = after.select("node", "label")
-        if after.where("label < old").isEmpty():
-            return labels.select(F.col("node").alias("rep"), F.col("label").alias("class"))
+        if edges.isEmpty():
+            return classes
+
+
+def _relabelled(classes: DataFrame, step: DataFrame) -> DataFrame:
+    """``(rep, class)`` with the class that ``step`` gives a class, where it gives one."""
+    further = step.select(F.col("rep").alias("class"), F.col("class").alias("further"))
+    return classes.join(further, "class", "left").select(
+        "rep", F.coalesce("further", "class").alias("class")
+    )
+
+
+def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``(rep, class)`` after more links: only the classes that these lead to are merged."""
+    known = classes.withColumnRenamed("class", "known")
+    ends = links.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    ends = written(ends.join(known, "rep", "left"))
+    at_a, at_b = (
+        ends.select(F.col("rep").alias(end), F.coalesce("known", "rep").alias(f"to_{end}"))
+        for end in "ab"
+    )
+    between = links.join(at_a, "a").join(at_b, "b")
+    step = components(between.select(F.col("to_a").alias("a"), F.col("to_b").alias("b")))
+    alone = ends.where("known IS NULL").select("rep", F.col("rep").alias("class"))
+    return written(_relabelled(classes.unionByName(alone), step))
 
 
 def _pairs(centres: DataFrame, members: DataFrame) -> DataFrame:
@@ -233,8 +254,8 @@ def _pairs(centres: DataFrame, members: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def links_between(texts: DataFrame) -> DataFrame:
-    """``(a, b)``: links of different texts, enough of them to connect each class."""
+def linked_classes(texts: DataFrame) -> DataFrame:
+    """``(rep, class)`` of all texts with a link, of ``(rep, text)``."""
     signed = written(_signed(texts).dropDuplicates(["rep"]))
     marks = signed.select("rep", "signature")
     slots = signed.select("rep", F.explode("bands").alias("bucket"))
@@ -245,9 +266,8 @@ def links_between(texts: DataFrame) -> DataFrame:
     rank = F.struct("popularity", "rep")
     centres = members.groupBy("bucket").agg(F.max_by("rep", rank).alias("centre"))
     tried = written(_pairs(centres, members))
-    links = written(_verified(_agree(tried, marks), texts))
+    classes = components(_verified(_agree(tried, marks), texts))
     while True:
-        classes = components(links)
         # Buckets that still hold several classes: the classes' most popular members meet
         # the members of all other classes, unless they have met before.
         labelled = members.join(classes, "rep", "left").withColumn(
@@ -291,8 +311,8 @@ def links_between(texts: DataFrame) -> DataFrame:
         fresh = written(_agree(across.join(tried, ["a", "b"], "left_anti"), marks))
         more = written(_verified(fresh, texts))
         if more.isEmpty():
-            return links
-        links = links.unionByName(more)
+            return classes
+        classes = _joined(classes, more)
         tried = tried.unionByName(fresh)
 
 
@@ -318,7 +338,7 @@ def _classes(docs: DataFrame) -> DataFrame:
         .where("first IS NULL OR doc_id = first")
         .select("rep", "text")
     )
-    labels = components(links_between(texts))
+    labels = linked_classes(texts)
     return keys.join(labels, "rep", "left").select(
         "doc_id", F.col("rep").alias("content"), F.coalesce("class", "rep").alias("class")
     )

@@ -415,6 +415,32 @@ def test_near_duplicates_equal_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(_classes(texts)))
 
 
+def test_components_of_chains_stars_and_random_links(spark):
+    rng = random.Random(11)
+    name = {at: rng.getrandbits(40) for at in range(400)}
+    links = [(at, at + 1) for at in range(60)]
+    links += [(100, at) for at in range(101, 160)] + [(at, 199) for at in range(170, 199)]
+    links += [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(90)]
+    links += links[:20] + [(b, a) for a, b in links[30:50]]
+    links = [(name[a], name[b]) for a, b in links if a != b]
+    expected = {x: x for link in links for x in link}
+    for _ in expected:
+        before = dict(expected)
+        for a, b in links:
+            expected[a] = expected[b] = min(expected[a], expected[b])
+        if expected == before:
+            break
+    tables = spark.createDataFrame(links, "a long, b long")
+    got = probminhash.components(tables).collect()
+    assert len(got) == len(expected)
+    assert {r.rep: r["class"] for r in got} == expected
+    # The same, with half of the links coming later.
+    first = probminhash.components(tables.where("a % 2 = 0"))
+    later = probminhash._joined(first, tables.where("a % 2 = 1"))
+    assert sorted((r.rep, r["class"]) for r in later.collect()) == sorted(expected.items())
+    assert probminhash.components(tables.where("false")).count() == 0
+
+
 def test_near_duplicate_corner_cases(docs, no_docs, spark):
     got = probminhash.near_duplicates(docs).collect()
     assert len(got) == docs.count()
