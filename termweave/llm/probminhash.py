@@ -4,12 +4,15 @@ A document is its set of runs of ``SHINGLE`` words (lower-cased, cut at white sp
 by ``1 + ln(count)``.  Each shingle sends a Poisson process of arrivals, at a rate equal to its weight, to
 ``REGISTERS`` registers picked at random; a register keeps the shingle that arrives first.  Arrivals later
 than the last register's are of no use, so each process ends as soon as it passes that time.  The share of equal
-registers estimates the probability Jaccard similarity of two documents.
+registers estimates the probability Jaccard similarity of two documents.  Texts that repeat a shingle are signed
+once more with all weights 1: the share of equal registers of these signatures estimates the plain Jaccard
+similarity, which the threshold is on.  Where no shingle is repeated both signatures are the same.
 
-Bands of registers make candidates.  A band's bucket may hold any number of documents: each member
+Bands of registers, of both signatures, make candidates.  A band's bucket may hold any number of documents: each member
 is compared with the bucket's centre, never all with all.  The centre is the member whose other
-buckets hold most documents, which is the text that the others derive from.  Candidates whose registers agree enough are verified on their texts, by the
-exact Jaccard similarity of their shingle sets.  Buckets whose members are then still in several classes get
+buckets hold most documents, which is the text that the others derive from.  Candidates are verified on their
+texts, by the exact Jaccard similarity of their shingle sets, unless the sizes of these sets or the registers of unit
+weights rule it out.  Buckets whose members are then still in several classes get
 two more centres, from their largest classes, until no new link is found.
 
 Equal texts are one text throughout, known by 128 bits of their content, and are not compared.
@@ -75,8 +78,13 @@ def shingles(text: str, words: Words) -> np.ndarray:
     return out
 
 
-def signatures(sets: list[np.ndarray], registers: int = REGISTERS) -> np.ndarray:
-    """ProbMinHash signatures, a row of 32-bit marks per set of shingles with repeats."""
+def signatures(
+    sets: list[np.ndarray], registers: int = REGISTERS, weighted: bool = True
+) -> np.ndarray:
+    """ProbMinHash signatures, a row of 32-bit marks per set of shingles with repeats.
+
+    Without weights each shingle of a set counts as one.
+    """
     unique = [np.unique(s, return_counts=True) for s in sets]
     sizes = np.array([len(u) for u, _ in unique])
     out = np.zeros((len(sets), registers), dtype=np.uint64)
@@ -84,6 +92,8 @@ def signatures(sets: list[np.ndarray], registers: int = REGISTERS) -> np.ndarray
         return out.astype(np.uint32)
     element = np.concatenate([u for u, _ in unique])
     rate = 1 + np.log(np.concatenate([c for _, c in unique]))
+    if not weighted:
+        rate = np.ones(len(element))
     owner = np.repeat(np.arange(len(sets)), sizes)
     first = np.full(len(sets) * registers, np.inf)
     flat = out.reshape(-1)
@@ -126,7 +136,10 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _signed(texts: DataFrame) -> DataFrame:
-    """``(rep, n, signature, bands)`` of ``(rep, text)`` with at least one word."""
+    """``(rep, n, signature, bands)`` of ``(rep, text)`` with at least one word.
+
+    ``n`` counts distinct shingles, ``signature`` is that of unit weights, ``bands`` are of both.
+    """
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = once(("words",), Words)
@@ -139,21 +152,29 @@ def _signed(texts: DataFrame) -> DataFrame:
                     sets.append(found)
                     size += len(found)
                 if sets and (size >= 1 << 18 or at + 1 == len(batch)):
+                    distinct = [np.unique(s) for s in sets]
                     signature = signatures(sets)
+                    bands = list(band_keys(signature))
+                    plain = [i for i, s in enumerate(sets) if len(distinct[i]) < len(s)]
+                    if plain:
+                        signature[plain] = signatures([distinct[i] for i in plain], weighted=False)
+                        for i, keys in zip(plain, band_keys(signature[plain]), strict=True):
+                            bands[i] = np.union1d(bands[i], keys)
                     yield pd.DataFrame(
                         {
                             "rep": reps,
+                            "n": [len(s) for s in distinct],
                             "signature": [row.tobytes() for row in signature.astype("<u4")],
-                            "bands": list(band_keys(signature)),
+                            "bands": bands,
                         }
                     )
                     reps, sets, size = [], [], 0
 
-    return texts.mapInPandas(sign, "rep binary, signature binary, bands array<long>")
+    return texts.mapInPandas(sign, "rep binary, n long, signature binary, bands array<long>")
 
 
 def _agree(pairs: DataFrame, marks: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` whose registers agree as often as pairs above the threshold do."""
+    """Pairs ``(a, b)`` whose sizes and registers agree as those of pairs above the threshold do."""
     least = THRESHOLD - DEVIATIONS * math.sqrt(THRESHOLD * (1 - THRESHOLD) / REGISTERS)
 
     @F.pandas_udf("double")
@@ -164,10 +185,15 @@ def _agree(pairs: DataFrame, marks: DataFrame) -> DataFrame:
         two = np.frombuffer(b"".join(y), "<u4").reshape(len(y), -1)
         return pd.Series((one == two).mean(axis=1))
 
-    a = marks.select(F.col("rep").alias("a"), F.col("signature").alias("sig_a"))
-    b = marks.select(F.col("rep").alias("b"), F.col("signature").alias("sig_b"))
-    near = pairs.join(a, "a").join(b, "b").where(share("sig_a", "sig_b") >= least)
-    return near.select("a", "b")
+    a = marks.select(F.col("rep").alias("a"), F.col("signature").alias("sig_a"), F.col("n").alias("n_a"))
+    b = marks.select(F.col("rep").alias("b"), F.col("signature").alias("sig_b"), F.col("n").alias("n_b"))
+    sized = pairs.join(a, "a").join(b, "b").where(_sizes_allow("n_a", "n_b"))
+    return sized.where(share("sig_a", "sig_b") >= least).select("a", "b")
+
+
+def _sizes_allow(one: str, two: str) -> Column:
+    """Whether sets of these sizes can reach the threshold."""
+    return F.least(one, two) / F.greatest(one, two) >= THRESHOLD
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -257,7 +283,7 @@ def _pairs(centres: DataFrame, members: DataFrame) -> DataFrame:
 def linked_classes(texts: DataFrame) -> DataFrame:
     """``(rep, class)`` of all texts with a link, of ``(rep, text)``."""
     signed = written(_signed(texts).dropDuplicates(["rep"]))
-    marks = signed.select("rep", "signature")
+    marks = signed.select("rep", "n", "signature")
     slots = signed.select("rep", F.explode("bands").alias("bucket"))
     counts = slots.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = written(slots.join(counts, "bucket"))

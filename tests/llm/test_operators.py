@@ -415,6 +415,22 @@ def test_near_duplicates_equal_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(_classes(texts)))
 
 
+def _unlike(rng, n):
+    return " ".join(f"x{rng.randrange(10**9)}" for _ in range(n))
+
+
+def test_repeated_lines_do_not_hide_copies(spark):
+    rng = random.Random(29)
+    texts = []
+    for times in (1, 50, 1_000, 1_000, 1_000):
+        common = _unlike(rng, 404)
+        # 400 common shingles and 20 own ones a text: a plain similarity of 0.9 at any count.
+        texts += [f"{common} " + f"{_unlike(rng, 20)} " * times for _ in range(2)]
+    docs = spark.createDataFrame([(at, t, None, None, None) for at, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r.class_id for r in probminhash.near_duplicates(docs).collect()}
+    assert [got[at] for at in range(len(texts))] == _classes(texts) == [0, 0, 2, 2, 4, 4, 6, 6, 8, 8]
+
+
 def test_components_of_chains_stars_and_random_links(spark):
     rng = random.Random(11)
     name = {at: rng.getrandbits(40) for at in range(400)}
