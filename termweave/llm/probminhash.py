@@ -13,7 +13,8 @@ is compared with the bucket's centre, never all with all.  The centre is the mem
 buckets hold most documents, which is the text that the others derive from.  Candidates are verified on their
 texts, by the exact Jaccard similarity of their shingle sets, unless the sizes of these sets or the registers of unit
 weights rule it out.  Buckets whose members are then still in several classes get
-two more centres, from their largest classes, until no new link is found.
+two more centres, from their largest classes, until no new link is found.  What members of buckets with several classes
+have then not been compared meet by a prefix filter on their rarest shingles, which misses no pair.
 
 Equal texts are one text throughout, known by 128 bits of their content, and are not compared.
 Texts of fewer than ``SHINGLE`` words are one shingle.  Null texts, and texts without words, are
@@ -30,9 +31,11 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from termweave.llm.common import if_small, once, written
+from termweave.operators.skew import balanced_join, lookup_join
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -40,6 +43,8 @@ REGISTERS = 128
 BAND = 4
 # A candidate is dropped if its estimate is below the threshold by more than so many deviations.
 DEVIATIONS = 4.5
+# With so many members outside its largest class, a bucket's pairs of classes are all compared.
+FEW_OUTSIDE = 16
 KEPT_WORDS = 300_000
 TOGETHER = 1 << 21
 
@@ -280,6 +285,82 @@ def _pairs(centres: DataFrame, members: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _across(members: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of different classes in a bucket, of ``(bucket, rep, class, top)``."""
+    one = members.where("class != top").select(
+        "bucket", F.col("rep").alias("one"), F.col("class").alias("class_one")
+    )
+    met = members.join(one, "bucket").where(
+        (F.col("class") != F.col("class_one"))
+        & ((F.col("class") == F.col("top")) | (F.col("class_one") < F.col("class")))
+    )
+    return met.select(F.least("rep", "one").alias("a"), F.greatest("rep", "one").alias("b")).distinct()
+
+
+def _unmet(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of different classes, with all that reach the threshold, of ``(rep, class)``.
+
+    Sets above the threshold share one of their rarest shingles: as many of each set are its prefix as it
+    may have beyond the share that must be common.  The order of shingles is global: those of one class
+    only come first, as no pair shares them, then the others by their number of texts.
+    Pairs meet at the first shingle they share, where the places left bound what else is common.
+    """
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = once(("words",), Words)
+        for batch in batches:
+            found = [np.unique(shingles(text, words)).view(np.int64) for text in batch["text"]]
+            yield pd.DataFrame({"rep": batch["rep"], "class": batch["class"], "shingles": found})
+
+    members = written(members)
+    if members.isEmpty():
+        return members.select(F.col("rep").alias("a"), F.col("rep").alias("b"))
+    sets = texts.join(if_small(members), "rep").select("rep", "class", "text")
+    # Rows that are equal in id and text stand once here.
+    sets = sets.mapInPandas(listed, "rep binary, class binary, shingles array<long>")
+    sets = written(sets.dropDuplicates(["rep"]))
+    rows = sets.select("rep", "class", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    shared = written(
+        rows.groupBy("shingle")
+        .agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
+        .where("low < high")
+        .select("shingle", "n")
+    )
+    own = W.partitionBy("rep")
+    place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "shingle"))
+    prefix = lookup_join(rows, shared, "shingle", "n").withColumn("place", place)
+    beyond = F.col("size") - F.ceil(F.lit(THRESHOLD) * F.col("size") - F.lit(1e-9))
+    prefix = written(prefix.where(F.col("place") <= beyond + 1).drop("n"))
+    # The largest class of a shingle meets the others, not itself, so near copies make no square.
+    largest = (
+        prefix.groupBy("shingle", "class")
+        .agg(F.count("*").alias("n"))
+        .groupBy("shingle")
+        .agg(F.max(F.struct("n", "class")).alias("top"), F.sum("n").alias("n"))
+        .where("top.n < n")
+        .select("shingle", F.col("top.class").alias("top"), "n")
+    )
+    prefix = written(lookup_join(prefix, written(largest), "shingle", "n").drop("n"))
+    one, two = (
+        prefix.select(
+            "shingle", *(F.col(c).alias(f"{c}_{end}") for c in ("rep", "class", "size", "place", "top"))
+        )
+        for end in "ab"
+    )
+    met = balanced_join(one.where("class_a != top_a"), two, ["shingle"])
+    left = [F.col(f"size_{end}") - F.col(f"place_{end}") for end in "ab"]
+    least = F.lit(THRESHOLD / (1 + THRESHOLD)) * (F.col("size_a") + F.col("size_b"))
+    met = met.where(
+        (F.col("class_a") != F.col("class_b"))
+        & ((F.col("class_b") == F.col("top_b")) | (F.col("class_a") < F.col("class_b")))
+        & _sizes_allow("size_a", "size_b")
+        & (F.least(*left) + 1 >= least - F.lit(1e-9))
+    )
+    return met.select(
+        F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")
+    ).distinct()
+
+
 def linked_classes(texts: DataFrame) -> DataFrame:
     """``(rep, class)`` of all texts with a link, of ``(rep, text)``."""
     signed = written(_signed(texts).dropDuplicates(["rep"]))
@@ -337,7 +418,18 @@ def linked_classes(texts: DataFrame) -> DataFrame:
         fresh = written(_agree(across.join(tried, ["a", "b"], "left_anti"), marks))
         more = written(_verified(fresh, texts))
         if more.isEmpty():
-            return classes
+            # What is left: all pairs of different classes in a bucket, without the largest
+            # class's own, where these are linear in its members; else the prefix filter.
+            held = heads.groupBy("bucket").agg(F.sum("size").alias("all")).join(top, "bucket")
+            outside = F.col("all") - F.col("first.size")
+            held = written(held.select("bucket", outside.alias("outside"), F.col("first.class").alias("top")))
+            few = open_members.join(held.where(F.col("outside") <= FEW_OUTSIDE), "bucket")
+            direct = written(_across(few).join(tried, ["a", "b"], "left_anti"))
+            many = open_members.join(held.where(F.col("outside") > FEW_OUTSIDE), "bucket")
+            unmet = _unmet(many.select("rep", "class").distinct(), texts)
+            left = written(_agree(direct, marks).unionByName(unmet).distinct())
+            last = written(_verified(left, texts))
+            return classes if last.isEmpty() else _joined(classes, last)
         classes = _joined(classes, more)
         tried = tried.unionByName(fresh)
 

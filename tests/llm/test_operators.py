@@ -419,6 +419,46 @@ def _unlike(rng, n):
     return " ".join(f"x{rng.randrange(10**9)}" for _ in range(n))
 
 
+def test_close_pairs_in_a_family_below_the_threshold(spark):
+    rng = random.Random(17)
+    passage = _unlike(rng, 300)
+    # All have a similarity of 0.75 by the passage; 60 pairs have 0.81 by the start of their ends.
+    texts = [f"{passage} {_unlike(rng, 50)}" for _ in range(40)]
+    for _ in range(60):
+        start = f"{passage} {_unlike(rng, 14)}"
+        texts += [f"{start} {_unlike(rng, 36)}" for _ in range(2)]
+    rng.shuffle(texts)
+    docs = spark.createDataFrame([(at, t, None, None, None) for at, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r.class_id for r in probminhash.near_duplicates(docs).collect()}
+    expected = _classes(texts)
+    assert len(set(expected)) == 100
+    assert [got[at] for at in range(len(texts))] == expected
+
+
+def test_prefix_filter_finds_all_pairs_of_different_classes(spark):
+    rng = random.Random(23)
+    texts = []
+    for _ in range(12):
+        base = " ".join(f"v{rng.randrange(300)}" for _ in range(rng.randint(40, 120)))
+        texts += [base, *_copies(rng, base, 4, 1), *_copies(rng, base, 2, 3)]
+    texts += ["one two", "two three"]
+    reps = [bytes([at // 256, at % 256]) for at in range(len(texts))]
+    classes = [rng.choice(reps[:20]) for _ in texts]
+    found = probminhash._unmet(
+        spark.createDataFrame(list(zip(reps, classes, strict=True)), "rep binary, class binary"),
+        spark.createDataFrame(list(zip(reps, texts, strict=True)), "rep binary, text string"),
+    )
+    found = {(bytes(r.a), bytes(r.b)) for r in found.collect()}
+    words = probminhash.Words()
+    sets = [np.unique(probminhash.shingles(text, words)) for text in texts]
+    close = {
+        (reps[i], reps[j])
+        for i, j in itertools.combinations(range(len(texts)), 2)
+        if classes[i] != classes[j] and probminhash.jaccard(sets[i], sets[j]) >= 0.8
+    }
+    assert close and close <= found
+
+
 def test_repeated_lines_do_not_hide_copies(spark):
     rng = random.Random(29)
     texts = []
