@@ -5,8 +5,8 @@ how many pages a subtree stands at a place, a place being a host and the chain o
 leads to the element.  A subtree is a template if it stands on many pages (``LEAST_PAGES``), at a place of which nearly all
 subtrees do 
 (``PLACE_SHARE``): menus, adverts and footers rotate among a few variants, while
-articles that are copied between pages share their place with others that are not.  Templates are deleted, unless
-that would leave a page without text.
+articles that are copied between pages share their place with others that are not.  Templates are deleted at
+their places, unless that would leave a page without text; an equal subtree elsewhere in a page stays.
 
 What a page's own markup declares as something else than the article goes as well, since it may occur once
 only: elements such as ``nav``, ``footer``, ``form``, ``script``, and those whose class, id or role says menu,
@@ -90,12 +90,13 @@ WORD = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "place", "other", "children", "key")
+    __slots__ = ("tag", "place", "other", "children", "key", "spot")
 
     def __init__(self, tag: str, place: str, other: bool):
         self.tag, self.place, self.other = tag, place, other
         self.children: list = []
         self.key = 0
+        self.spot = (0, 0)  # hash of host and place, key
 
 
 def _declared(tag: str, attributes: str) -> tuple[str, bool]:
@@ -201,18 +202,22 @@ def _hash(root: Node) -> None:
 
 
 def subtrees(root: Node, host: str) -> Iterator[tuple[int, int]]:
-    """``(place, key)`` of all elements outside the page's head; a place belongs to a host."""
+    """``(place, key)`` of all elements outside the page's head; a place belongs to a host.
+
+    The elements keep it as their ``spot``, by which templates are found again.
+    """
     todo = [root]
     while todo:
         node = todo.pop()
         if node.tag:
-            yield xxhash.xxh3_64_intdigest(f"{host}\0{node.place}") - (1 << 63), node.key
+            node.spot = xxhash.xxh3_64_intdigest(f"{host}\0{node.place}") - (1 << 63), node.key
+            yield node.spot
         todo += [
             child for child in node.children if isinstance(child, Node) and child.tag != "head"
         ]
 
 
-def _find(root: Node, tags: tuple[str, ...], gone: frozenset[int]) -> list[Node]:
+def _find(root: Node, tags: tuple[str, ...], gone: frozenset[tuple[int, int]]) -> list[Node]:
     """The outermost elements of these kinds that are not inside something removed."""
     out, todo = [], [root]
     while todo:
@@ -223,12 +228,12 @@ def _find(root: Node, tags: tuple[str, ...], gone: frozenset[int]) -> list[Node]
         todo += [
             child
             for child in reversed(node.children)
-            if isinstance(child, Node) and not child.other and child.key not in gone
+            if isinstance(child, Node) and not child.other and child.spot not in gone
         ]
     return out
 
 
-def blocks(root: Node, gone: frozenset[int] = frozenset()) -> list[str]:
+def blocks(root: Node, gone: frozenset[tuple[int, int]] = frozenset()) -> list[str]:
     """The texts of the blocks below an element, in page order."""
     out: list[str] = []
     line: list[str] = []
@@ -247,7 +252,7 @@ def blocks(root: Node, gone: frozenset[int] = frozenset()) -> list[str]:
             end()
         elif item.tag == "br":
             line.append(" ")
-        elif item is root or not item.other and item.key not in gone:
+        elif item is root or not item.other and item.spot not in gone:
             inner = item.children
             if item.tag == "header":  # inside an article: of its lines, the title is text
                 inner = [c for c in inner if isinstance(c, Node) and c.tag in HEADINGS | {"hgroup"}]
@@ -259,8 +264,8 @@ def blocks(root: Node, gone: frozenset[int] = frozenset()) -> list[str]:
     return out
 
 
-def main_text(root: Node, templates: frozenset[int] = frozenset()) -> str:
-    """The article's blocks with an empty line between them."""
+def main_text(root: Node, templates: frozenset[tuple[int, int]] = frozenset()) -> str:
+    """The article's blocks with an empty line between them, without ``(place, key)`` that are templates."""
     for gone in (templates, frozenset()):
         parts: list[list[str]] = []
         for tags in (("article",), ("main",), ("body",), ("",)):
@@ -340,7 +345,7 @@ def extract_pages(
             texts = []
             for page, name in zip(html, host, strict=True):
                 root = parse(page or "")
-                gone = frozenset(key for place, key in subtrees(root, name) if (place, key) in known.value)
+                gone = frozenset(spot for spot in subtrees(root, name) if spot in known.value)
                 texts.append(main_text(root, gone))
             return pd.Series(texts, dtype="str")
 
@@ -349,18 +354,20 @@ def extract_pages(
         by_page = (
             found.join(templates, ["place", "key"])
             .groupBy("page")
-            .agg(F.collect_set("key").alias("templates"))
+            .agg(F.collect_set(F.array("place", "key")).alias("templates"))
         )
 
         @F.pandas_udf("string")
-        def extracted_by_page(html: pd.Series, keys: pd.Series) -> pd.Series:
-            texts = [
-                main_text(parse(page or ""), frozenset(() if own is None else own.tolist()))
-                for page, own in zip(html, keys, strict=True)
-            ]
+        def extracted_by_page(html: pd.Series, host: pd.Series, spots: pd.Series) -> pd.Series:
+            texts = []
+            for page, name, own in zip(html, host, spots, strict=True):
+                root = parse(page or "")
+                known = frozenset(() if own is None else (tuple(spot.tolist()) for spot in own))
+                gone = frozenset(spot for spot in subtrees(root, name) if spot in known)
+                texts.append(main_text(root, gone))
             return pd.Series(texts, dtype="str")
 
         texts = keyed.join(by_page, "page", "left").select(
-            "page_id", "url", extracted_by_page("html", "templates").alias("text")
+            "page_id", "url", extracted_by_page("html", "host", "templates").alias("text")
         )
     return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))

@@ -666,6 +666,21 @@ def test_templates_are_removed(spark, few):
     assert templates.extract_pages(pages.limit(0), few=few).count() == 0
 
 
+@pytest.mark.parametrize("few", [1_000, 0])
+def test_templates_stay_outside_their_place(spark, few):
+    menu = "<div class=m><ul><li><a href='/news'>News</a><li>Offer of the day</ul></div>"
+    body = "<div class=t><p>Text {0} has <a href='/x'>News</a> in it<ul><li>Offer of the day<li>own {0}</ul></div>"
+    rows = [(at, f"https://h.example/{at}", menu + body.format(at)) for at in range(30)]
+    # Few articles hold the link, so it is a template at the menu's place only.
+    rows += [(at, f"https://h.example/{at}", f"{menu}<div class=t><p>plain {at}</div>") for at in range(30, 60)]
+    rows = rows[:9] + rows[30:]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r.page_id: r.text for r in templates.extract_pages(pages, few=few).collect()}
+    for at in range(9):
+        assert texts[at] == f"Text {at} has News in it\n\nOffer of the day\n\nown {at}"
+    assert all(texts[at] == f"plain {at}" for at in range(30, 60))
+
+
 @pytest.mark.parametrize(
     ("html", "text"),
     [
