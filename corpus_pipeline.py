@@ -14,7 +14,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with words in a language that was learned."""
+    """Documents with words in languages that were learned, one or several; all with letters if none was."""
     return crf.keep_determined(docs)
 
 

@@ -46,6 +46,8 @@ LEXICON_SHARE = 0.8
 KEPT_WORDS = 300_000
 KEPT_PIECES = 500_000
 TOGETHER = 1 << 21
+# Words fit no learned language if the likeliest is at less than so many times an even spread over all.
+ABOVE_CHANCE = 1.2
 UNDETERMINED = "und"
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -395,7 +397,39 @@ def detect_documents(docs: DataFrame) -> DataFrame:
     )
 
 
+def fitting(docs: DataFrame, model: Model | None, least: float):
+    """A function of a text column: whether it has words, and these fit a learned language.
+
+    The score is each word's probability of its own likeliest language, on average, so mixing languages does
+    not lower it.  Of many languages none need have ``least``; words that fit none are near ``1 / k`` for each.
+    Without a model any word with letters will do.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def fits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = shared.value
+        identity = None if model is None else hash((model.languages, model.weights.tobytes()))
+        labeller = once(("crf", identity), lambda: None if model is None else Labeller(model))
+        for texts in batches:
+            found = []
+            for held in _slices(texts):
+                if labeller:
+                    enough = min(least, ABOVE_CHANCE / len(model.languages))
+                    found += [
+                        len(p) > 0 and bool(p.max(axis=1).mean() >= enough)
+                        for p in labeller.label(held)
+                    ]
+                else:
+                    found += [any(map(letters, (text or "").split())) for text in held]
+            yield pd.Series(found, dtype="bool")
+
+    return fits
+
+
 def keep_determined(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` with a language that has at least ``least`` of the words' probability."""
-    found = languages(docs, train(docs))("text")
-    return docs.where(found.getField("score") >= least)
+    """The rows of ``docs`` with words, of which each fits a learned language by ``least`` on average.
+
+    Texts in several languages stay, and all with letters where no language was learned.
+    """
+    return docs.where(fitting(docs, train(docs), least)("text"))

@@ -209,6 +209,27 @@ def test_no_language_to_learn(docs, no_docs):
     assert crf.detect_documents(no_docs).count() == 0
 
 
+def test_mixed_languages_and_unlabelled_texts_stay(spark, docs):
+    rng = random.Random(3)
+    alphabets = {"aa": "abcde", "bb": "fghij", "cc": "klmno", "dd": "pqrst", "ee": "uvwxy"}
+    rows = [
+        (at, _language(rng, letters, 40), lang, "s", None)
+        for at in range(200)
+        for lang, letters in [list(alphabets.items())[at % 5]]
+    ]
+    for at, n in ((500, 4), (501, 5)):
+        parts = [_language(rng, letters, 30) for letters in list(alphabets.values())[:n]]
+        rows.append((at, " ".join(parts), None, "s", None))
+    rows.append((900, "12 !!", None, "s", None))
+    mixed = spark.createDataFrame(rows, DOCS)
+    kept = sorted(r.doc_id for r in crf.keep_determined(mixed).collect())
+    assert kept == [*range(200), 500, 501]
+    unlabelled = docs.drop("lang").selectExpr("*", "CAST(null AS string) AS lang")
+    kept = crf.keep_determined(unlabelled).collect()
+    expected = [r for r in unlabelled.collect() if any(map(str.isalpha, r.text or ""))]
+    assert sorted(map(str, kept)) == sorted(map(str, expected)) and len(kept) > 8
+
+
 # Toxicity
 
 
