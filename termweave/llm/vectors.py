@@ -12,6 +12,29 @@ from termweave.llm.common import fraction
 BLOCK = "ids binary, rows binary"
 
 
+def finite(vectors: DataFrame, *kept: str) -> DataFrame:
+    """``(vec_id, v)`` and the columns ``kept`` of ``(vec_id, embedding, ...)``, with double components.
+
+    Out stay null and empty vectors, those with a null or non-finite component, and those of
+    another length than most have (of several such lengths, the smallest counts).
+    """
+    big = F.lit(float("inf"))
+    fine = F.coalesce(
+        F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < big)), F.lit(False)
+    )
+    rows = vectors.select(
+        F.col("vec_id").cast("bigint").alias("vec_id"),
+        F.transform("embedding", lambda x: x.cast("double")).alias("v"),
+        *kept,
+    )
+    rows = rows.where("v IS NOT NULL").where(fine & (F.size("v") > 0))
+    # One row.
+    common = (
+        rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
+    )
+    return rows.where(F.size("v") == common[0]["n"]) if common else rows
+
+
 def usable(vectors: DataFrame, allow_zero: bool) -> DataFrame:
     """``(vec_id, v)`` of ``(vec_id, embedding)`` that can take part, with double components.
 
