@@ -26,6 +26,14 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "line_no", line_tokens(F.col("line")).alias("tokens"))
 
 
+def line_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(tokens, copies)``: equal lines once.  They are merged before they are tokenized, and tokenized in many tasks."""
+    table = scan(spark, f"{sf_dir}/documents.parquet", "text")
+    cut = table.select(F.explode(F.split("text", "\n")).alias("line"))
+    copies = cut.groupBy("line").agg(F.count("*").alias("copies"))
+    return copies.select(line_tokens(F.col("line")).alias("tokens"), "copies")
+
+
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(src, dst)``: from each part to the next part of the same order.
 

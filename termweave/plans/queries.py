@@ -45,7 +45,7 @@ def line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cooccurrence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cooccurrence.pair_counts(inputs.lines(spark, sf_dir))
+    return cooccurrence.pair_counts(inputs.line_bag(spark, sf_dir))
 
 
 def cooccurrence_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +53,7 @@ def cooccurrence_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def relative_term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cooccurrence.relative_frequency(inputs.lines(spark, sf_dir))
+    return cooccurrence.relative_frequency(inputs.line_bag(spark, sf_dir))
 
 
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
