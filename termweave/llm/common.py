@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,11 +30,27 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+# Bytes of an Arrow batch to a Python worker while tables are written, at most.
+BATCH_BYTES = 16 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def written(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder: its lineage ends there, and columns are pruned."""
+    """``df`` as a table in the shared folder: its lineage ends there, and columns are pruned.
+
+    Workers get smaller batches than by default meanwhile, as long texts weigh much more in Python.
+    """
     spark = df.sparkSession
     path = shared_folder(spark)
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH_SETTING, None)
+    spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_SETTING)
+        else:
+            spark.conf.set(_BATCH_SETTING, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -116,6 +136,32 @@ class Memo(dict):
         return value
 
 
+def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` on the batches of a task, after which the Python process gives back its memory.
+
+    Processes outlive tasks.  What they keep would add up with that of other stages, and of the JVM beside them.
+    """
+
+    @wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return run
+
+
+def release() -> None:
+    """Give memory that Python no longer uses back to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 _KEPT: list = []
 
 

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termweave.llm.common import fraction, once
+from termweave.llm.common import fraction, tidy
 
 DOCS_PER_LANGUAGE = 500
 LANGUAGES = 256
@@ -42,9 +42,9 @@ SEQUENCE = 48
 BITS = 15
 LEXICON_LEAST = 3
 LEXICON_SHARE = 0.8
-# Words and pieces of text that a process remembers before it starts anew.
-KEPT_WORDS = 300_000
-KEPT_PIECES = 500_000
+# Words and pieces of text that a task remembers before it starts anew.
+KEPT_WORDS = 150_000
+KEPT_PIECES = 200_000
 TOGETHER = 1 << 21
 # Words fit no learned language if the likeliest is at less than so many times an even spread over all.
 ABOVE_CHANCE = 1.2
@@ -371,10 +371,10 @@ def languages(docs: DataFrame, model: Model | None):
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
+    @tidy
     def detect(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shared.value
-        identity = None if model is None else hash((model.languages, model.weights.tobytes()))
-        labeller = once(("crf", identity), lambda: None if model is None else Labeller(model))
+        labeller = None if model is None else Labeller(model)
         for texts in batches:
             found = []
             for held in _slices(texts):
@@ -407,10 +407,10 @@ def fitting(docs: DataFrame, model: Model | None, least: float):
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
+    @tidy
     def fits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = shared.value
-        identity = None if model is None else hash((model.languages, model.weights.tobytes()))
-        labeller = once(("crf", identity), lambda: None if model is None else Labeller(model))
+        labeller = None if model is None else Labeller(model)
         for texts in batches:
             found = []
             for held in _slices(texts):

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from termweave.llm.common import if_small, once, written
+from termweave.llm.common import if_small, tidy, written
 from termweave.operators.skew import balanced_join, lookup_join
 
 SHINGLE = 5
@@ -45,7 +45,7 @@ BAND = 4
 DEVIATIONS = 4.5
 # With so many members outside its largest class, a bucket's pairs of classes are all compared.
 FEW_OUTSIDE = 16
-KEPT_WORDS = 300_000
+KEPT_WORDS = 100_000
 TOGETHER = 1 << 21
 
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -146,8 +146,9 @@ def _signed(texts: DataFrame) -> DataFrame:
     ``n`` counts distinct shingles, ``signature`` is that of unit weights, ``bands`` are of both.
     """
 
+    @tidy
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = once(("words",), Words)
+        words = Words()
         for batch in batches:
             reps, sets, size = [], [], 0
             for at, (rep, text) in enumerate(zip(batch["rep"], batch["text"], strict=True)):
@@ -205,8 +206,9 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs whose shingle sets are similar enough, by their whole texts."""
 
     @F.pandas_udf("double")
+    @tidy
     def similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        words = once(("words",), Words)
+        words = Words()
         for one, two in batches:
             yield pd.Series(
                 [
@@ -306,8 +308,9 @@ def _unmet(members: DataFrame, texts: DataFrame) -> DataFrame:
     Pairs meet at the first shingle they share, where the places left bound what else is common.
     """
 
+    @tidy
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = once(("words",), Words)
+        words = Words()
         for batch in batches:
             found = [np.unique(shingles(text, words)).view(np.int64) for text in batch["text"]]
             yield pd.DataFrame({"rep": batch["rep"], "class": batch["class"], "shingles": found})

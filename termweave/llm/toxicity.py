@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termweave.llm.common import Memo, fraction, once, written
+from termweave.llm.common import Memo, fraction, tidy, written
 
 POSITIVES = 4_000
 UNLABELLED = 12_000
@@ -41,7 +41,7 @@ BITS = 20
 # the unlabelled by so many standard errors.
 LEAST_POSITIVES = 3
 LEAST_ERRORS = 5.0
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -132,8 +132,9 @@ def _constant(bias: float) -> Model:
 def _featured(sample: DataFrame) -> DataFrame:
     """``(positive, features)`` of ``(positive, text)``; features as 32-bit numbers in order."""
 
+    @tidy
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = once(("pu-features",), lambda: Memo(word_features, KEPT_WORDS))
+        memo = Memo(word_features, KEPT_WORDS)
         for batch in batches:
             found = [sorted(text_features(text, memo)) for text in batch["text"]]
             yield pd.DataFrame(
@@ -149,6 +150,7 @@ def _featured(sample: DataFrame) -> DataFrame:
 def _telling_features(featured: DataFrame, n_pos: int, n_unl: int) -> np.ndarray:
     """Features that positives have significantly more often; counted by Spark."""
 
+    @tidy
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros((2, 1 << BITS), dtype=np.int64)
         for batch in batches:
@@ -227,6 +229,7 @@ def scorer(docs: DataFrame, model: Model):
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
+    @tidy
     def toxicity(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = shared.value
         weight = dict(zip(model.features.tolist(), model.weights.tolist(), strict=True))
@@ -234,8 +237,7 @@ def scorer(docs: DataFrame, model: Model):
         def kept(word: str) -> tuple[int, ...]:
             return tuple(f for f in word_features(word) if f in weight)
 
-        identity = hash((model.bias, model.features.tobytes()))
-        memo = once(("pu-words", identity), lambda: Memo(kept, KEPT_WORDS))
+        memo = Memo(kept, KEPT_WORDS)
         for batch in texts:
             margins = [
                 model.bias + sum(weight[f] for f in sorted(text_features(text, memo)))
