@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termweave.llm.common import written
+from termweave.llm.common import tidy, written
 from termweave.operators.skew import lookup_join
 
 WINDOW = 13
@@ -49,7 +49,7 @@ _MIX_1, _MIX_2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _STEP, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(33)
 _PACKED = (
     "block int, ids binary, texts binary, sizes binary, windows binary,"
-    " content binary, doc binary, start binary"
+    " members binary, doc binary, start binary"
 )
 _SPANS = "doc_id long, text_hash long, spans binary"
 
@@ -166,6 +166,7 @@ def _crowds(texts: DataFrame) -> tuple[int, DataFrame]:
     a hash beyond the limit has half of it reported at least.
     """
 
+    @tidy
     def report(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = Hashes()
         for _, _, found in _batches(frames, hashes, BATCH_WORDS):
@@ -189,6 +190,17 @@ def _crowds(texts: DataFrame) -> tuple[int, DataFrame]:
     return total["n"], written(counts.where(F.col("anchor").isNotNull() & (2 * F.col("n") > limit)).select("anchor"))
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 in as few bytes each as the largest needs."""
+    most = int(values.max(initial=0))
+    return values.astype(next(t for t in (np.uint8, np.uint16, np.uint32) if most <= np.iinfo(t).max)).tobytes()
+
+
+def _wide(data: bytes, n: int) -> np.ndarray:
+    kind = {1: np.uint8, 2: np.uint16, 4: np.uint32}[len(data) // n]
+    return np.frombuffer(data, kind).astype(np.int64)
+
+
 def _packed(ids: np.ndarray, texts: np.ndarray, found: Stretches, chosen: np.ndarray, blocks: int):
     """A row for each block that stretches of a batch are dealt to; equal ones stand once."""
     places = found.window_places(chosen)
@@ -217,9 +229,9 @@ def _packed(ids: np.ndarray, texts: np.ndarray, found: Stretches, chosen: np.nda
             "texts": texts[docs].tobytes(),
             "sizes": held.astype(np.uint8).tobytes(),
             "windows": windows[at].tobytes(),
-            "content": own.astype(np.uint32).tobytes(),
-            "doc": doc.astype(np.uint32).tobytes(),
-            "start": found.start[chosen[members]].astype(np.uint32).tobytes(),
+            "members": _narrow(np.bincount(own)),
+            "doc": _narrow(doc),
+            "start": _narrow(found.start[chosen[members]]),
         }
 
 
@@ -265,13 +277,14 @@ def _block_spans(group: pd.DataFrame) -> pd.DataFrame:
     n_contents = 0
     for row in group.itertuples(index=False):
         held = np.frombuffer(row.sizes, np.uint8).astype(np.int64)
-        doc = np.frombuffer(row.doc, np.uint32)
+        members = _wide(row.members, len(held))
+        doc = _wide(row.doc, members.sum())
         sizes.append(held)
         windows.append(np.frombuffer(row.windows, np.uint64))
         ids.append(np.frombuffer(row.ids, np.int64)[doc])
         texts.append(np.frombuffer(row.texts, np.int64)[doc])
-        content.append(np.frombuffer(row.content, np.uint32).astype(np.int64) + n_contents)
-        starts.append(np.frombuffer(row.start, np.uint32).astype(np.int64))
+        content.append(np.repeat(np.arange(len(held)), members) + n_contents)
+        starts.append(_wide(row.start, len(doc)))
         n_contents += len(held)
     sizes, windows, ids, texts, content, starts = map(
         np.concatenate, (sizes, windows, ids, texts, content, starts)
@@ -324,6 +337,7 @@ def _parsed(texts: DataFrame, blocks: int, crowded: np.ndarray) -> DataFrame:
     """``_SPANS`` rows of all stretches but those of crowded hashes, by parsing block by block."""
     shared = texts.sparkSession.sparkContext.broadcast(crowded)
 
+    @tidy
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = Hashes()
         for ids, text_hashes, found in _batches(frames, hashes, BATCH_WORDS):
@@ -339,6 +353,7 @@ def _crowded(texts: DataFrame, crowded: np.ndarray) -> DataFrame:
     """``_SPANS`` rows of the stretches of crowded hashes, window by window."""
     shared = texts.sparkSession.sparkContext.broadcast(crowded)
 
+    @tidy
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = Hashes()
         for ids, text_hashes, found in _batches(frames, hashes, BATCH_WORDS):
@@ -400,6 +415,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     the input.  ``kept`` are the other words, joined by one space.
     """
 
+    @tidy
     def strip(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             counts, removed, kept = [], [], []
