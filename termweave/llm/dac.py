@@ -17,10 +17,12 @@ a hash of their text.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -29,16 +31,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from termweave.llm.bpe import UNSPLIT, words_of
-from termweave.llm.common import once, shared_folder
+from termweave.llm.bpe import UNSPLIT, byte_letters, words_of
+from termweave.llm.common import Memo, shared_folder, tidy
 
 MAGIC = b"DAC1"
 WIDTHS = (1, 1, 2)
 END_ID = 1
 SEGMENT_IDS = 1 << 20
-# Entries of a process's memory of words and of parts, and the letters of an entry.
-KEPT = 400_000
-KEPT_LETTERS = 48
+# Words, and pieces of texts, that a task remembers.  Beyond so many pieces it begins anew; frequent ones are soon back.
+KEPT = 250_000
 # Texts that are encoded together, by letters.
 TOGETHER = 1 << 20
 
@@ -130,79 +131,80 @@ class Segment:
 
 
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit numbers, by the tokenizers library.
+    """Ids of whole texts as 32-bit numbers, by the tokenizers library.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text are those of
-    its parts, and a part's are those of its words.  Frequent parts and words are encoded once
-    per process; what a list of texts adds is handed to the library in one piece, and cut at the tokens
-    that end a word.  Texts for which that does not hold are encoded as they are.
+    The tokenizer drops white space and never joins across it, so the ids of a text are those of its pieces between white
+    space, and a piece's are those of its words.  Words go to the library's model one by one, frequent ones once.  A piece
+    is numbered, and the ids of all pieces are kept one after the other; a text is a gathering of them.  Texts
+    with controls that Python cuts at, or with special tokens, are encoded by the library as they are.
     """
 
     def __init__(self, tokenizer_json: str):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        suffix = self.tokenizer.model.end_of_word_suffix
-        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
-        for token, at in self.tokenizer.get_vocab(with_added_tokens=False).items():
-            self.ends[at] = token.endswith(suffix)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.parts, self.words = _Memory(), _Memory()
-
-    def _alone(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return array("I", ids).tobytes()
-
-    def _encode_words(self, listed: list[str]) -> dict[str, bytes]:
-        if not listed:
-            return {}
-        text = " ".join(listed)
-        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        ids = np.array(found.ids, dtype="<u4")
-        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-        if len(ends) != len(listed):
-            return {word: self._alone(word) for word in listed}
-        data = ids.tobytes()
-        begins = [0, *ends[:-1]]
-        return {
-            word: data[4 * a : 4 * b] for word, a, b in zip(listed, begins, ends, strict=True)
-        }
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join(map(re.escape, (*UNSPLIT, *special))))
+        model, letters = self.tokenizer.model, byte_letters()
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        texts = [text or "" for text in texts]
-        whole = (*UNSPLIT, *self.special)
-        cut = [None if any(x in text for x in whole) else text.split() for text in texts]
-        met = set().union(*(pieces for pieces in cut if pieces))
-        inside = {part: words_of(part) for part in met if part not in self.parts}
-        met = set().union(*inside.values())
-        fresh = self._encode_words([word for word in met if word not in self.words])
-        self.words.fresh = fresh
+        def ids_of(word: str) -> bytes:
+            if not (word.isascii() and word.isalnum()):
+                word = "".join(letters[byte] for byte in word.encode())
+            return array("I", [token.id for token in model.tokenize(word)]).tobytes()
+
+        self.words = Memo(ids_of, KEPT)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers = _Numbers()
+        self.starts = np.zeros(1, dtype=np.int64)
+        self.ids = np.zeros(0, dtype="<u4")
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Add the ids of pieces that are numbered, but not yet encoded."""
         word = self.words.__getitem__
-        made = {part: b"".join(map(word, words)) for part, words in inside.items()}
-        self.parts.fresh = made
-        part = self.parts.__getitem__
-        out = [
-            self._alone(text) if pieces is None else b"".join(map(part, pieces))
-            for text, pieces in zip(texts, cut, strict=True)
+        found = [
+            word(piece.lower()) if piece.isascii() and piece.isalpha() else b"".join(map(word, words_of(piece)))
+            for piece in pieces
         ]
-        self.words.keep()
-        self.parts.keep()
-        return out
-
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), "<u4")])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+
+    def gather(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and the number of ids of each."""
+        if len(self.numbers) > KEPT:
+            self._forget()
+        cut = [[] if not text or self.whole.search(text) else text.split() for text in texts]
+        known = len(self.numbers)
+        number = self.numbers.__getitem__
+        n_pieces = np.fromiter(map(len, cut), np.int64, len(cut))
+        at = np.fromiter(map(number, chain.from_iterable(cut)), np.int64, int(n_pieces.sum()))
+        self._learn(list(islice(self.numbers, known, None)))
+        begin, size = self.starts[at], self.starts[at + 1] - self.starts[at]
+        ends = np.cumsum(size)
+        ids = self.ids[np.repeat(begin - (ends - size), size) + np.arange(int(size.sum()))]
+        counts = np.diff(np.concatenate([[0], ends])[np.cumsum(np.append(0, n_pieces))])
+        alone = [i for i, text in enumerate(texts) if text and not cut[i] and not text.isspace()]
+        if not alone:
+            return ids, counts
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        for i in alone:
+            found = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
+            parts[i] = np.array(found, dtype="<u4")
+        return np.concatenate(parts), np.array([len(part) for part in parts])
 
-class _Memory(dict):
-    """What earlier texts left, and ``fresh`` for the texts at hand."""
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        if not texts:
+            return []
+        ids, counts = self.gather(texts)
+        return [part.tobytes() for part in np.split(ids, np.cumsum(counts)[:-1])]
 
-    fresh: dict[str, bytes]
 
-    def __missing__(self, key: str) -> bytes:
-        return self.fresh[key]
+class _Numbers(dict):
+    """A number for each string, in the order they are met."""
 
-    def keep(self) -> None:
-        for key, value in self.fresh.items():
-            if len(self) >= KEPT:
-                break
-            if len(key) <= KEPT_LETTERS:
-                self[key] = value
-        self.fresh = {}
+    def __missing__(self, key: str) -> int:
+        at = self[key] = len(self)
+        return at
 
 
 def _slices(batch: pd.DataFrame) -> Iterator[tuple[list, list]]:
@@ -219,9 +221,7 @@ def _slices(batch: pd.DataFrame) -> Iterator[tuple[list, list]]:
         yield ids, texts
 
 
-def _segment(part: int, seq: int, start: int, doc_ids: list, pieces: list) -> dict:
-    sizes = [len(piece) // 4 for piece in pieces]
-    ids = np.frombuffer(b"".join(pieces), "<u4")
+def _segment(part: int, seq: int, start: int, doc_ids: list, sizes: np.ndarray, ids: np.ndarray) -> dict:
     return {
         "part": part,
         "seq": seq,
@@ -240,24 +240,42 @@ def write_ids(
     context = docs.sparkSession.sparkContext
     # One file of a public tokenizer, a few MB whatever the data.
     model = context.broadcast(tokenizer_json)
-    end = struct.pack("<I", END_ID)
 
+    @tidy
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = once(("dac", hash(model.value)), lambda: Encoder(model.value))
-        doc_ids, pieces, held, seq, start, part = [], [], 0, 0, 0, 0
+        encoder = Encoder(model.value)
+        doc_ids, sizes, pieces, held, seq, start, part = [], [], [], 0, 0, 0, 0
+
+        def segment() -> pd.DataFrame:
+            row = _segment(part, seq, start, doc_ids, np.concatenate(sizes), np.concatenate(pieces))
+            return pd.DataFrame([row])
+
         for batch in batches:
             part = int(batch["part"].iloc[0]) if len(batch) else part
-            for ids, texts in _slices(batch):
-                for doc_id, piece in zip(ids, encoder(texts), strict=True):
-                    doc_ids.append(doc_id)
-                    pieces.append(piece + end)
-                    held += len(piece) // 4 + 1
+            for listed, texts in _slices(batch):
+                ids, counts = encoder.gather(texts)
+                ends = np.cumsum(counts + 1)
+                # Whole documents go to a segment until it is full.
+                first = 0
+                while first < len(listed):
+                    full = np.searchsorted(ends, (ends[first - 1] if first else 0) + segment_ids - held)
+                    last = min(len(listed), int(full) + 1)
+                    with_end = np.insert(
+                        ids[ends[first - 1] - first if first else 0 : ends[last - 1] - last],
+                        np.cumsum(counts[first:last]),
+                        np.uint32(END_ID),
+                    )
+                    doc_ids += listed[first:last]
+                    sizes.append(counts[first:last] + 1)
+                    pieces.append(with_end)
+                    held += len(with_end)
+                    first = last
                     if held >= segment_ids:
-                        yield pd.DataFrame([_segment(part, seq, start, doc_ids, pieces)])
+                        yield segment()
                         seq, start = seq + 1, start + held
-                        doc_ids, pieces, held = [], [], 0
-        if pieces:
-            yield pd.DataFrame([_segment(part, seq, start, doc_ids, pieces)])
+                        doc_ids, sizes, pieces, held = [], [], [], 0
+        if doc_ids:
+            yield segment()
 
     order = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     ranged = (
@@ -288,16 +306,15 @@ def read_ids(segments: DataFrame) -> DataFrame:
         (F.col("before") + F.col("start_in_part")).alias("start"), "doc_ids", "doc_sizes", "payload"
     )
 
+    @tidy
     def decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start, doc_ids, sizes, payload in batch.itertuples(index=False):
                 segment = Segment(payload)
                 ends = np.cumsum(np.asarray(sizes, dtype=np.int64))
                 begins = ends - sizes
-                crcs = [
-                    zlib.crc32(segment.access(np.arange(a, b)).astype("<u4").tobytes())
-                    for a, b in zip(begins, ends, strict=True)
-                ]
+                held = segment.access(np.arange(len(segment))).astype("<u4")
+                crcs = [zlib.crc32(held[a:b]) for a, b in zip(begins, ends, strict=True)]
                 yield pd.DataFrame(
                     {
                         "doc_id": pd.array(doc_ids, dtype="Int64"),
