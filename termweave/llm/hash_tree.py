@@ -1,14 +1,14 @@
 """Sharding by a hierarchical weighted hash tree: region, rack, shard.
 
-At each level every child of the chosen node draws ``-ln(u) / weight``, with ``u`` from a
-hash of the key and the child's id, and the smallest draw wins.  A draw depends on its own
-child only, so changing one weight moves rows only into or out of that child, at each
-level: what moves stays within the subtrees whose weights change.  A tree grows by opening
-a new region once the others are full, so one more shard than a whole number of regions takes
-rows only into itself.
+Every shard draws ``-ln(u) / weight``, with ``u`` from a hash of the key and the shard's path of region, rack and own
+number.  A rack's draw is the smallest of its shards', and a region's the smallest of its racks', which is again
+a draw at the sum of their weights; a row descends to the region, rack and shard of the smallest draw.  A draw depends
+on its own shard only.  So a changed weight moves rows only into or out of that shard, and one more shard, be it in an old
+rack, a new rack or a new region, takes rows only into itself: nothing moves in or between other subtrees.
 
 Rows are placed by key alone.  Null keys are one key; repeated rows share a shard and get
-slots of their own; columns beyond those asked for are carried along.
+slots of their own; columns beyond those asked for are carried along, but for one of the result's name.  An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -20,18 +20,31 @@ from pyspark.sql import functions as F
 
 from termweave.llm.common import gapless_ranks, written
 
-LEVEL_SEEDS = (101, 102, 103)
+SEED = 101
 
 
 @dataclass(frozen=True)
 class Tree:
-    """``weights[region][rack][shard]``; shards are numbered in that order. 0 takes no rows."""
+    """``weights[region][rack][shard]``; shards are numbered in that order. 0 takes no rows.
+
+    A shard's path of places is what it draws by.  Layouts that change keep the places of what stays: remove by weight 0.
+    """
 
     weights: tuple[tuple[tuple[float, ...], ...], ...]
 
     @property
     def shards(self) -> int:
-        return sum(len(rack) for region in self.weights for rack in region)
+        return len(self.paths)
+
+    @property
+    def paths(self) -> list[tuple[int, int, int]]:
+        """The place ``(region, rack, shard)`` of each number."""
+        return [
+            (r, j, i)
+            for r, region in enumerate(self.weights)
+            for j, rack in enumerate(region)
+            for i in range(len(rack))
+        ]
 
 
 def tree(shards: int, shards_per_rack: int = 5, racks_per_region: int = 4) -> Tree:
@@ -47,82 +60,39 @@ def tree(shards: int, shards_per_rack: int = 5, racks_per_region: int = 4) -> Tr
     )
 
 
-def _draw(key: Column, seed: int, node: Column, weight: Column) -> Column:
-    u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(seed), node), 11) + 0.5) / F.lit(float(1 << 53))
-    return F.when(weight > 0, -F.ln(u) / weight)
-
-
-def _smallest(draws: list[Column]) -> Column:
-    """Position of the smallest draw; null draws stand for children that take nothing."""
-    return F.array_min(
-        F.array(
-            *(
-                F.struct(F.coalesce(d, F.lit(float("inf"))).alias("draw"), F.lit(at).alias("at"))
-                for at, d in enumerate(draws)
-            )
-        )
-    )["at"]
-
-
-def _chosen(values: list, at: Column, default) -> Column:
-    return F.coalesce(F.get(F.array(*(F.lit(v) for v in values)), at), F.lit(default))
+def _draw(key: Column, path: tuple[int, int, int], weight: float) -> Column:
+    """A shard's draw; one without weight never has the smallest."""
+    if weight <= 0:
+        return F.lit(float("inf"))
+    bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(SEED), *map(F.lit, path)), 11)
+    return -F.ln((bits + 0.5) / F.lit(float(1 << 53))) / F.lit(float(weight))
 
 
 def place(rows: DataFrame, key: str, layout: Tree, shard: str = "shard") -> DataFrame:
     """``rows`` with the number of the shard that ``key`` descends to."""
-    regions = layout.weights
-    most_racks = max(len(region) for region in regions)
-    most_shards = max(len(rack) for region in regions for rack in region)
-    rack_sums = [[sum(rack) for rack in region] for region in regions]
     k = F.col(key).cast("bigint")
-    found = rows.withColumn(
-        "_region",
-        _smallest(
-            [
-                _draw(k, LEVEL_SEEDS[0], F.lit(r), F.lit(float(sum(sums))))
-                for r, sums in enumerate(rack_sums)
-            ]
-        ),
-    )
-    region = F.col("_region")
-    found = found.withColumn(
-        "_rack",
-        region * most_racks
-        + _smallest(
-            [
-                _draw(
-                    k,
-                    LEVEL_SEEDS[1],
-                    region * most_racks + j,
-                    _chosen([s[j] if j < len(s) else 0.0 for s in rack_sums], region, 0.0),
-                )
-                for j in range(most_racks)
-            ]
-        ),
-    )
-    padded = [
-        region[j] if j < len(region) else () for region in regions for j in range(most_racks)
-    ]
-    rack = F.col("_rack")
-    first = [0]
-    for shards in padded:
-        first.append(first[-1] + len(shards))
-    # The id of a shard for its draw is its place in the layout, not its number: numbers move
-    # when a rack before it grows.
-    leaf = _smallest(
-        [
-            _draw(
-                k,
-                LEVEL_SEEDS[2],
-                rack * most_shards + j,
-                _chosen([s[j] if j < len(s) else 0.0 for s in padded], rack, 0.0),
+    number = {path: at for at, path in enumerate(layout.paths)}
+    if not number:
+        raise ValueError("a tree needs a shard")
+
+    def smallest(draws: list[Column]) -> Column:
+        return F.array_min(F.array(*draws))
+
+    regions = []
+    for r, region in enumerate(layout.weights):
+        racks = [
+            smallest(
+                [
+                    F.struct(_draw(k, (r, j, i), weight).alias("draw"), F.lit(number[r, j, i]).alias("shard"))
+                    for i, weight in enumerate(rack)
+                ]
             )
-            for j in range(most_shards)
+            for j, rack in enumerate(region)
+            if rack
         ]
-    )
-    return found.withColumn(shard, (_chosen(first, rack, 0) + leaf).cast("int")).drop(
-        "_region", "_rack"
-    )
+        if racks:
+            regions.append(smallest(racks))
+    return rows.withColumn(shard, smallest(regions)["shard"].cast("int"))
 
 
 def shard_documents(docs: DataFrame, layout: Tree, grown: Tree) -> DataFrame:

@@ -330,22 +330,14 @@ def test_batches_are_full(spark):
 
 
 def _place(key, tree):
-    def draw(seed, node, weight):
+    def draw(path, weight):
         h = 42 if key is None else xxhash.xxh64(struct.pack("<q", key), seed=42).intdigest()
-        for part in (seed, node):
+        for part in (101, *path):
             h = xxhash.xxh64(struct.pack("<i", part), seed=h).intdigest()
         return -math.log(((h >> 11) + 0.5) / 2**53) / weight if weight > 0 else math.inf
 
-    regions = tree.weights
-    racks = max(map(len, regions))
-    shards = max(len(rack) for region in regions for rack in region)
-    weight = [sum(map(sum, region)) for region in regions]
-    r = min(range(len(regions)), key=lambda i: (draw(101, i, weight[i]), i))
-    j = min(range(len(regions[r])), key=lambda i: (draw(102, r * racks + i, sum(regions[r][i])), i))
-    rack = r * racks + j
-    s = min(range(len(regions[r][j])), key=lambda i: (draw(103, rack * shards + i, regions[r][j][i]), i))
-    before = [len(rk) for region in regions for rk in region]
-    return sum(before[: sum(map(len, regions[:r])) + j]) + s
+    draws = [draw((r, j, i), tree.weights[r][j][i]) for r, j, i in tree.paths]
+    return draws.index(min(draws))
 
 
 def test_shards(spark, docs, no_docs):
@@ -377,8 +369,28 @@ def test_weights_move_rows_within_their_subtree(spark):
     placed = hash_tree.place(hash_tree.place(rows, "k", before), "k", after, "later").collect()
     counts = np.bincount([r.shard for r in placed], minlength=7) / len(placed) * 8
     assert np.allclose(counts, [1, 1, 1, 1, 1, 1, 2], atol=0.1)
-    # The lighter region loses rows; nothing moves between the shards of the other one.
-    assert not any(r.shard < 4 and r.later != r.shard for r in placed)
+    # The shard that got lighter loses rows; nothing else moves.
+    assert all(r.shard == 6 for r in placed if r.later != r.shard)
+
+
+@pytest.mark.parametrize(
+    ("before", "after", "new"),
+    [
+        (hash_tree.tree(41), hash_tree.tree(42), (2, 0, 1)),
+        (hash_tree.tree(45), hash_tree.tree(46), (2, 1, 0)),
+        # A wider rack, a wider region, and one more region, none of them the last.
+        (hash_tree.Tree((((1.0, 1.0),), ((1.0, 1.0),))), hash_tree.Tree((((1.0, 1.0, 1.0),), ((1.0, 1.0),))), (0, 0, 2)),
+        (hash_tree.Tree((((1.0, 3.0),), ((1.0,), (2.0,)))), hash_tree.Tree((((1.0, 3.0), (1.0,)), ((1.0,), (2.0,)))), (0, 1, 0)),
+        (hash_tree.Tree((((1.0, 1.0), (1.0,)),)), hash_tree.Tree((((1.0, 1.0), (1.0,)), ((2.0,),))), (1, 0, 0)),
+    ],
+)
+def test_one_more_shard_takes_rows_only_into_itself(spark, before, after, new):
+    rows = spark.range(6_000).withColumnRenamed("id", "k")
+    placed = hash_tree.place(hash_tree.place(rows, "k", before), "k", after, "later").collect()
+    moved = [r for r in placed if before.paths[r.shard] != after.paths[r.later]]
+    assert moved and all(after.paths[r.later] == new for r in moved)
+    share = after.weights[new[0]][new[1]][new[2]] / sum(w for region in after.weights for rack in region for w in rack)
+    assert abs(len(moved) / len(placed) - share) < 0.03
 
 
 # Near duplicates
