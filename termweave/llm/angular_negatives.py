@@ -6,9 +6,9 @@ and a full turn less that.  The references' intervals are intersected, turned in
 by both norms and widened beyond any rounding, which bounds the score from both sides.  A pair gets
 its exact integer score only if these bounds overlap a window that is asked for.
 
-Rows lie in blocks ordered by label and nearest reference.  Anchors lie in at most some ``TILES`` tiles of the same
-order, whose ranges of angles, norms and labels say which blocks can matter: a block meets the
-other tiles only in that summary.  First each anchor gets its positives, the best rows of its own label;
+Rows lie in blocks by label, of which ``BUCKETS`` buckets are made, and nearest reference.  Anchors lie in at most some
+``TILES`` tiles of the same kind, whose ranges of angles and norms and whose bucket say which blocks can matter: a block
+meets the other tiles only in that summary.  First each anchor gets its positives, the best rows of its own label;
 their scores make its windows.  Then blocks are searched for the best rows of other labels in
 each window.  Tiles travel to blocks, which stay where they are.  References come from a bounded sample
 (``SAMPLE`` rows), and the result does not depend on them.
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from termweave.llm.common import written
+from termweave.llm.common import fraction, tidy, written
 from termweave.llm.pivots import scores
 from termweave.llm.vectors import finite, matrix, sampled
 
@@ -37,11 +37,12 @@ SAMPLE = 2_048
 BLOCK_ROWS = 16_384
 TILE_ROWS = 1_024
 TILES = 1_024
+BUCKETS = 16
 SLICE = 2_048
 NONE = -(1 << 62)
 
 _BLOCK = (
-    "block long, rows binary, ids binary, labels binary, vectors binary, angles binary, norms binary,"
+    "block long, bucket int, rows binary, ids binary, labels binary, vectors binary, angles binary, norms binary,"
     " low array<double>, high array<double>, least double, most double, first_label long, last_label long"
 )
 
@@ -113,6 +114,7 @@ def _pack(frame: pd.DataFrame, block: int) -> dict:
     angles, norms, labels = matrix(frame["angles"]), frame["norm"].to_numpy(), frame["label"].to_numpy()
     return {
         "block": block,
+        "bucket": frame["bucket"].iloc[0],
         "rows": frame["row"].to_numpy().astype("<i8").tobytes(),
         "ids": frame["vec_id"].to_numpy().astype("<i8").tobytes(),
         "labels": labels.astype("<i8").tobytes(),
@@ -128,28 +130,35 @@ def _pack(frame: pd.DataFrame, block: int) -> dict:
     }
 
 
-def _blocks(rows: DataFrame, size: int, partitions: int | None = None) -> DataFrame:
-    """Rows in packs of ``size`` at most, ordered by label, then nearest reference."""
-    by = ("label", "home", F.xxhash64("row"))
-    ranged = rows.repartitionByRange(partitions, *by) if partitions else rows.repartitionByRange(*by)
-    ordered = ranged.sortWithinPartitions("label", "home").withColumn("part", F.spark_partition_id())
+def _blocks(rows: DataFrame, size: int) -> DataFrame:
+    """Rows in packs of some ``size``, those of a label bucket together, by their nearest reference.
 
-    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, n, seq = [], 0, 0
-        for frame in frames:
-            while len(frame):
-                held.append(frame[: size - n])
-                frame = frame[size - n :]
-                n += len(held[-1])
-                if n == size:
-                    whole = pd.concat(held)
-                    yield pd.DataFrame([_pack(whole, (int(whole["part"].iloc[0]) << 32) + seq)])
-                    held, n, seq = [], 0, seq + 1
-        if held:
-            whole = pd.concat(held)
-            yield pd.DataFrame([_pack(whole, (int(whole["part"].iloc[0]) << 32) + seq)])
+    The rows of a bucket and reference are laid along a line, at places that hashes of the rows decide, and the line is cut.
+    """
+    counts = {
+        (row["bucket"], row["home"]): row["n"]
+        for row in rows.groupBy("bucket", "home").agg(F.count("*").alias("n")).collect()
+    }  # at most BUCKETS * REFERENCES rows
+    first, before, held = {}, {}, 0
+    for bucket in sorted({bucket for bucket, _ in counts}):
+        first[bucket], total = held, 0
+        for home in range(REFERENCES):
+            before[bucket, home] = total
+            total += counts.get((bucket, home), 0)
+        held += -(-total // size)
+    cells = [(b, h) for b in range(BUCKETS) for h in range(REFERENCES)]
+    cell = F.col("bucket") * REFERENCES + F.col("home")
+    start, n = (
+        F.get(F.array(*(F.lit(values.get(at, 0)).cast("bigint") for at in cells)), cell) for values in (before, counts)
+    )
+    base = F.get(F.array(*(F.lit(first.get(b, 0)) for b in range(BUCKETS))), F.col("bucket"))
+    block = base + F.floor((start + F.floor(fraction("row") * n)) / size)
 
-    return written(ordered.mapInPandas(pack, _BLOCK))
+    def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([_pack(frame, key[0])])
+
+    dealt = rows.withColumn("block", block.cast("bigint"))
+    return written(dealt.groupBy("block").applyInPandas(pack, _BLOCK))
 
 
 def _take(found: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -269,6 +278,7 @@ def mine(
     # At most REFERENCES vectors.
     shared = spark.sparkContext.broadcast(choose_references(sampled(rows, n, SAMPLE), REFERENCES))
 
+    @tidy
     def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
@@ -280,12 +290,16 @@ def mine(
                     home=found.argmin(axis=1).astype(np.int32),
                 )
 
-    kinds = "vec_id long, label long, v array<double>, row long, angles array<double>, norm double, home int"
-    known = written(rows.mapInPandas(measure, kinds))
+    kinds = (
+        "vec_id long, label long, v array<double>, row long, bucket int,"
+        " angles array<double>, norm double, home int"
+    )
+    bucket = F.pmod(F.xxhash64("label"), F.lit(BUCKETS)).cast("int")
+    known = written(rows.withColumn("bucket", bucket).mapInPandas(measure, kinds))
     blocks = _blocks(known, BLOCK_ROWS)
-    tiles = _blocks(known.where(is_anchor), max(TILE_ROWS, -(-n_anchors // TILES)), max(1, min(TILES, n_anchors // TILE_ROWS)))
-    # Some TILES rows of a few hundred bytes, whatever the number of anchors.
-    facts = ("block", "low", "high", "least", "most", "first_label", "last_label")
+    tiles = _blocks(known.where(is_anchor), max(TILE_ROWS, -(-n_anchors // TILES)))
+    # At most TILES + BUCKETS rows of a few hundred bytes, whatever the number of anchors.
+    facts = ("block", "bucket", "low", "high", "least", "most", "first_label", "last_label")
     summary = [
         row.asDict() | {"low": np.array(row["low"]), "high": np.array(row["high"])}
         for row in tiles.select(*facts).collect()
@@ -314,16 +328,17 @@ def mine(
         for row in frame.itertuples(index=False):
             yield row, *(Packed(pd.Series(side)) for side in (row.a, row.b))
 
+    @tidy
     def find_positives(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row, tile, block in sides(frame):
                 yield positives_in(tile, block, positives).assign(tile=row.tile)
 
-    def same_labels(tile: dict, block: dict) -> bool:
-        return tile["first_label"] <= block["last_label"] and block["first_label"] <= tile["last_label"]
+    def same_bucket(tile: dict, block: dict) -> bool:
+        return tile["bucket"] == block["bucket"]
 
     hit = "at long, anchor_id long, row long, vec_id long, score long"
-    pairs = together(met(same_labels), tiles).mapInPandas(find_positives, f"{hit}, tile long")
+    pairs = together(met(same_bucket), tiles).mapInPandas(find_positives, f"{hit}, tile long")
     best = W.partitionBy("tile", "at").orderBy(F.desc("score"), "vec_id", "row")
     asked = written(
         pairs.withColumn("window", F.row_number().over(best) - 1)
@@ -363,6 +378,7 @@ def mine(
         least, most = range_bounds(tile, block)
         return most >= lowest and least <= highest
 
+    @tidy
     def find_negatives(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row, tile, block in sides(frame):
