@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termweave.llm.common import written
+from termweave.llm.common import tidy, written
 from termweave.llm.vectors import finite
 
 EXACT = 1 << 53
@@ -140,6 +140,7 @@ def _rows_of(batch: pa.RecordBatch) -> np.ndarray:
 def _sums(rows: DataFrame) -> tuple[int, list[int], int, int]:
     """Number of rows, and per dimension the exact sum; the least and the largest entry."""
 
+    @tidy
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total, least, most = 0, None, None, None
         for batch in batches:
@@ -181,6 +182,7 @@ def _covariance(rows: DataFrame, n: int, sums: list[int]) -> np.ndarray:
     centre = [(2 * s + n) // (2 * n) for s in sums]
     middle = np.array(centre, dtype=float)
 
+    @tidy
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
@@ -241,6 +243,7 @@ def whiten(
     largest = max(abs(n * v - s) for v in (least, most) for s in (min(sums), max(sums)))
     narrow = max(largest * largest * len(sums), *map(abs, sums)) < 1 << 63
 
+    @tidy
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, totals = model.value
         exact = np.array(totals, dtype=np.int64 if narrow else object)
