@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from termweave.runtime import stored
+
 
 def unnest(rows: DataFrame, array: str, item: str, position: str | None = None) -> DataFrame:
     """Replace ``array`` by its elements, and their 0-based positions if a name is given.
@@ -17,3 +20,28 @@ def unnest(rows: DataFrame, array: str, item: str, position: str | None = None)
     names = [item] if position is None else [position, item]
     generate = F.explode_outer if position is None else F.posexplode_outer
     return rows.select(*kept, generate(array).alias(*names)).where(F.col(item).isNotNull())
+
+
+def places(rows: DataFrame, at: Column) -> tuple[DataFrame, Column]:
+    """Rows and the expression of their place, from 0, by a column of ``monotonically_increasing_id``.
+
+    The ids must have been written with the rows.  Rows are counted per partition; only those counts, a
+    row per partition, are summed in one task and broadcast.
+    """
+    kept = rows.withColumn("_part", F.shiftright(at, 33))
+    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    before = (
+        kept.groupBy("_part")
+        .agg(F.count("*").alias("_n"))
+        .select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    )
+    place = F.col("_before") + at.bitwiseAND((1 << 33) - 1)
+    return kept.join(F.broadcast(before), "_part"), place
+
+
+def in_order(rows: DataFrame, place: str, *by: str) -> DataFrame:
+    """``rows`` with their ``place``, from 0 without a gap, in one order of all rows."""
+    ranged = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    written = stored(ranged.withColumn("_at", F.monotonically_increasing_id()))
+    known, number = places(written, F.col("_at"))
+    return known.select(*rows.columns, number.alias(place))

@@ -5,6 +5,11 @@ a side, and tokens distinct within a record.  The join is prefix filtered: with
 global order, rarest first, two sets that are similar enough share a token in a
 short prefix of each.
 
+The order is a dictionary of dense numbers, so sets are sorted arrays of numbers from there on.  Prefix
+tokens meet within neighbouring classes of set size only.  Each set has a bitmap of fixed
+width; bits in which two of them differ stand for tokens that the sets do not share, which rules out most false
+candidates before any set moves.
+
 Equal sets on one side are joined once, through the record with the smallest id, and
 unfolded at the end, so a large group of copies costs no more than one record until
 its pairs are part of the result.
@@ -12,10 +17,14 @@ its pairs are part of the result.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termweave.operators.rows import unnest
+from termweave.operators.rows import in_order, unnest
 from termweave.operators.skew import balanced_join, lookup_join
 from termweave.runtime import stored
 
@@ -23,6 +32,8 @@ SIMILARITY_DIGITS = 6
 # The threshold is applied to the rounded similarity, so the filters let through all
 # that could still round up to it.  The slack also covers float error in the bounds.
 ROUNDING_SLACK = 5.01e-7
+# Words of 64 bits in a set's bitmap.
+BITMAP_WORDS = 16
 
 
 def two_sided(r: DataFrame, s: DataFrame) -> DataFrame:
@@ -40,20 +51,35 @@ def token_frequency(records: DataFrame) -> DataFrame:
     return tokens.groupBy("token").agg(F.count("*").alias("freq"))
 
 
-def canonical_order(records: DataFrame) -> DataFrame:
-    """``records`` with ``tokens`` as ``ARRAY<STRUCT<freq, token>>``, rarest first, then by token.
+def token_order(records: DataFrame) -> DataFrame:
+    """``(token, freq, token_id)``: all tokens numbered from 0, rarest first, then by token.  A stored table."""
+    return stored(in_order(token_frequency(records), "token_id", "freq", "token"))
+
+
+def canonical_order(records: DataFrame, order: DataFrame | None = None) -> DataFrame:
+    """``records`` with ``tokens`` as sorted numbers of ``token_order``, and a ``bitmap`` of the set.
 
-    Records without tokens are left out.
+    Records without tokens are left out.  ``records`` is read several times: pass a stored table.
     """
     keys = [column for column in records.columns if column != "tokens"]
-    records = stored(records)
-    tokens = unnest(records, "tokens", "token")
-    counted = lookup_join(tokens, stored(token_frequency(records)), key="token", weight="freq")
-    return counted.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("freq", "token"))).alias("tokens")
+    order = token_order(records) if order is None else order
+    numbered = lookup_join(unnest(records, "tokens", "token"), order, key="token", weight="freq")
+    place = F.pmod("token_id", F.lit(64 * BITMAP_WORDS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(64)).cast("int"))
+    words = [
+        F.coalesce(F.bit_xor(F.when(F.shiftright(place, 6) == at, bit)), F.lit(0).cast("bigint"))
+        for at in range(BITMAP_WORDS)
+    ]
+    return numbered.groupBy(*keys).agg(
+        F.sort_array(F.collect_list("token_id")).alias("tokens"), F.array(*words).alias("bitmap")
     )
 
 
+def with_tokens(rows: DataFrame, order: DataFrame) -> DataFrame:
+    """``rows`` with ``token`` and ``freq`` of their ``token_id``; both are read several times."""
+    return lookup_join(rows, order, key="token_id", weight="freq")
+
+
 def lowest_similarity(threshold: float) -> float:
     """The smallest exact similarity that may still round to ``threshold``."""
     if not 0 < threshold <= 1:
@@ -62,39 +88,77 @@ def lowest_similarity(threshold: float) -> float:
 
 
 def prefixes(ordered: DataFrame, threshold: float) -> DataFrame:
-    """``(side, id, size, rank, token)``: the first ``size - ceil(t * size) + 1`` tokens."""
+    """``(side, id, size, rank, token_id)``: the first ``size - ceil(t * size) + 1`` tokens."""
     size = F.size("tokens")
     length = (size - F.ceil(size * lowest_similarity(threshold)) + 1).cast("int")
     return ordered.select(
         "side",
         "id",
         size.alias("size"),
-        F.posexplode(F.slice("tokens", F.lit(1), length)).alias("rank", "item"),
-    ).select("side", "id", "size", (F.col("rank") + 1).alias("rank"), F.col("item.token"))
+        F.posexplode(F.slice("tokens", F.lit(1), length)).alias("rank", "token_id"),
+    ).select("side", "id", "size", (F.col("rank") + 1).alias("rank"), "token_id")
 
 
-def candidates(prefix: DataFrame, threshold: float, positional: bool = False) -> DataFrame:
-    """``(rid, sid)``: pairs that share a prefix token and are of compatible size, once each.
+def _near(lowest: float) -> Column:
+    """Whether the sizes of two sets allow the similarity."""
+    return (F.col("ssize") >= F.col("rsize") * lowest) & (F.col("rsize") >= F.col("ssize") * lowest)
 
-    ``positional`` also asks that the tokens from the shared one on suffice for the
-    overlap the threshold needs.  The first token a pair shares passes if any does, so
-    no similar pair is lost.
+
+def met_in_prefix(prefix: DataFrame, threshold: float) -> DataFrame:
+    """Prefix tokens of both sides ``(token_id, size_class, rid, rsize, rrank, sid, ssize, srank)`` that meet.
+
+    Sizes fall into classes that grow by the factor of sizes that may still be similar.  A set of side ``s`` asks for the
+    classes of its own smallest to largest possible partner, three at most; others it never meets.
     """
     lowest = lowest_similarity(threshold)
+
+    def size_class(size: Column) -> Column:
+        return F.floor(F.ln(size) / -math.log(lowest))
+
     r, s = (
         prefix.where(F.col("side") == side).select(
-            "token",
+            "token_id",
             F.col("id").alias(f"{side}id"),
             F.col("size").alias(f"{side}size"),
             F.col("rank").alias(f"{side}rank"),
         )
         for side in ("r", "s")
     )
-    near = (F.col("ssize") >= F.col("rsize") * lowest) & (F.col("rsize") >= F.col("ssize") * lowest)
+    r = r.withColumn("size_class", size_class(F.col("rsize")))
+    smallest = F.greatest(F.lit(1), F.ceil(F.col("ssize") * lowest - 1e-9))
+    largest = F.floor(F.col("ssize") / lowest + 1e-9)
+    asked = F.sequence(size_class(smallest), size_class(largest))
+    return balanced_join(r, s.withColumn("size_class", F.explode(asked)), ["token_id", "size_class"])
+
+
+def candidates(prefix: DataFrame, threshold: float, positional: bool = False) -> DataFrame:
+    """``(rid, sid)``: pairs that share a prefix token and are of compatible size, once each.
+
+    ``positional`` also asks that the tokens from the shared one on suffice for the
+    overlap the threshold needs.  The first token a pair shares passes if any does, so
+    no similar pair is lost.  ``prefix`` is read several times.
+    """
+    lowest = lowest_similarity(threshold)
+    near = _near(lowest)
     if positional:
         most = F.least(F.col("rsize") - F.col("rrank"), F.col("ssize") - F.col("srank")) + 1
         near &= most >= (F.col("rsize") + F.col("ssize")) * (lowest / (1 + lowest))
-    return balanced_join(r, s, ["token"]).where(near).select("rid", "sid").distinct()
+    return met_in_prefix(prefix, threshold).where(near).select("rid", "sid").distinct()
+
+
+def bitmaps_allow(threshold: float) -> Column:
+    """Whether the bitmaps of two sets ``(rsize, rbitmap, ssize, sbitmap)`` allow the similarity.
+
+    A bit that differs is due to a token of one set only, and each token has one bit.  So at least as many
+    tokens are not shared as bits differ.
+    """
+    lowest = lowest_similarity(threshold)
+    words = (
+        F.bit_count(F.get("rbitmap", F.lit(at)).bitwiseXOR(F.get("sbitmap", F.lit(at))))
+        for at in range(BITMAP_WORDS)
+    )
+    sizes = F.col("rsize") + F.col("ssize")
+    return (sizes - reduce(add, words)) / 2 >= sizes * (lowest / (1 + lowest)) - 1e-9
 
 
 def jaccard(r: Column, s: Column) -> Column:
@@ -121,23 +185,27 @@ def join_records(records: DataFrame, threshold: float) -> DataFrame:
     firsts = stored(
         records.groupBy("side", "content").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     )
+    order = token_order(records)
     distinct_sets = records.select("side", "id", "tokens").join(
         firsts.select("side", "id", "copies"), ["side", "id"]
     )
-    sets = stored(canonical_order(distinct_sets))
-    prefix = stored(prefixes(sets, threshold))
-    pairs = stored(candidates(prefix, threshold, positional=True))
+    sets = stored(canonical_order(distinct_sets, order))
+    pairs = stored(candidates(prefixes(sets, threshold), threshold, positional=True))
 
-    def with_tokens(side: str) -> DataFrame:
-        known = sets.where(F.col("side") == side).select(
-            F.col("id").alias(f"{side}id"),
-            F.col("tokens.token").alias(f"{side}tokens"),
-            F.col("copies").alias(f"{side}copies"),
+    def known(side: str, *columns: Column) -> DataFrame:
+        return sets.where(F.col("side") == side).select(F.col("id").alias(f"{side}id"), *columns)
+
+    def of_both(pairs: DataFrame, *columns: tuple[str, Column]) -> DataFrame:
+        """Columns of both sets.  Each side is joined to the bare pairs, and the two meet on a key that is unique."""
+        r, s = (
+            balanced_join(pairs, known(side, *(c.alias(f"{side}{name}") for name, c in columns)), [f"{side}id"])
+            for side in ("r", "s")
         )
-        return balanced_join(pairs, known, [f"{side}id"])
+        return r.join(s, ["rid", "sid"])
 
-    # Each side is joined to the bare pairs, and the two meet on a key that is unique.
-    both = with_tokens("r").join(with_tokens("s"), ["rid", "sid"])
+    marked = of_both(pairs, ("size", F.size("tokens")), ("bitmap", F.col("bitmap")))
+    likely = stored(marked.where(bitmaps_allow(threshold)).select("rid", "sid"))
+    both = of_both(likely, ("tokens", F.col("tokens")), ("copies", F.col("copies")))
     similar = both.select(
         "rid", "sid", "rcopies", "scopies", jaccard(F.col("rtokens"), F.col("stokens")).alias("sim")
     ).where(F.col("sim") >= threshold)

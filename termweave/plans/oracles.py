@@ -148,7 +148,9 @@ ORACLES: dict[str, str] = {
           AND r.size >= s.size * (0.8::DOUBLE - 5.01e-7)""",
     "set_similarity_join": f"WITH {_SETS} SELECT rid, sid, sim FROM similar_pairs",
     "similarity_report": f"""WITH {_SETS}
-        SELECT '(' || rid || ',' || sid || ')' || chr(9) || sim AS value FROM similar_pairs""",
+        SELECT row_number() OVER (ORDER BY rid, sid) AS line_no,
+               '(' || rid || ',' || sid || ')' || chr(9) || sim AS value
+        FROM similar_pairs""",
     "postings_report": f"""WITH {_WORDS},
         df AS (SELECT term, count(DISTINCT doc_id) AS df FROM tf GROUP BY term)
         SELECT row_number() OVER (ORDER BY term, doc_id) AS line_no, term, doc_id,

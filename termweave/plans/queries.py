@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from termweave import sources
 from termweave.operators import cooccurrence, cycles, similarity, tfidf
-from termweave.operators.rows import unnest
+from termweave.operators.rows import places, unnest
 from termweave.plans import inputs
 from termweave.runtime import materialise, stored
 
@@ -108,42 +107,40 @@ def token_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def canonical_token_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = similarity.canonical_order(_records(spark, sf_dir))
-    items = ordered.select("side", "id", F.posexplode("tokens").alias("at", "item"))
-    return items.select("side", "id", (F.col("at") + 1).alias("rank"), "item.token", "item.freq")
+    records = stored(_records(spark, sf_dir))
+    order = similarity.token_order(records)
+    sets = similarity.canonical_order(records, order)
+    items = sets.select("side", "id", F.posexplode("tokens").alias("at", "token_id"))
+    named = similarity.with_tokens(stored(items), order)
+    return named.select("side", "id", (F.col("at") + 1).alias("rank"), "token", "freq")
 
 
 def prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = similarity.canonical_order(_records(spark, sf_dir))
-    return similarity.prefixes(ordered, THRESHOLD)
+    records = stored(_records(spark, sf_dir))
+    order = similarity.token_order(records)
+    prefix = similarity.prefixes(similarity.canonical_order(records, order), THRESHOLD)
+    named = similarity.with_tokens(stored(prefix), order)
+    return named.select("side", "id", "size", "rank", "token")
 
 
 def similarity_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.candidates(stored(prefix_tokens(spark, sf_dir)), THRESHOLD)
+    sets = stored(similarity.canonical_order(stored(_records(spark, sf_dir))))
+    return similarity.candidates(similarity.prefixes(sets, THRESHOLD), THRESHOLD)
 
 
 def set_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.join_records(_records(spark, sf_dir), THRESHOLD)
 
 
-def similarity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.similarity_lines(set_similarity_join(spark, sf_dir))
-
-
 def _numbered(lines: DataFrame) -> DataFrame:
-    """``(line_no, value)``: ordered output lines with their place in it, from 1.
+    """``(line_no, value)``: ordered output lines with their place in it, from 1."""
+    kept = materialise(lines).withColumn("_at", F.monotonically_increasing_id())
+    known, place = places(kept, F.col("_at"))
+    return known.select((place + 1).alias("line_no"), "value")
 
-    Lines are counted per partition; only those counts, a row per partition, are summed in one task.
-    """
-    kept = materialise(lines).withColumn("at", F.monotonically_increasing_id())
-    kept = kept.select(
-        F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND((1 << 33) - 1).alias("at"), "value"
-    )
-    earlier = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    counts = kept.groupBy("part").agg(F.count("*").alias("n"))
-    before = counts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    place = F.col("before") + F.col("at") + 1
-    return kept.join(F.broadcast(before), "part").select(place.alias("line_no"), "value")
+
+def similarity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _numbered(sources.similarity_lines(set_similarity_join(spark, sf_dir)))
 
 
 def postings_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,10 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from termweave.operators import similarity
+from termweave.runtime import stored
 from termweave.sources import similarity_lines
 
 R = [(0, [1, 4, 5, 6]), (1, [2, 3, 6]), (2, [4, 5, 6])]
@@ -82,11 +84,86 @@ def test_canonical_order_and_prefix(spark):
     both = similarity.two_sided(side(spark, R), side(spark, S))
     frequency = dict(rows(similarity.token_frequency(both)))
     assert frequency == {"1": 2, "2": 2, "3": 2, "4": 3, "5": 4, "6": 5}
-    ordered = similarity.canonical_order(both)
+    order = similarity.token_order(both)
+    names = {number: token for token, _, number in rows(order)}
+    assert [names[at] for at in range(6)] == sorted(frequency, key=lambda t: (frequency[t], t))
+    ordered = similarity.canonical_order(both, order)
     for record in ordered.collect():
-        assert [tuple(item) for item in record.tokens] == sorted(tuple(i) for i in record.tokens)
-    prefix = rows(similarity.prefixes(ordered, 0.5).where("side = 'r' AND id = 0").orderBy("rank"))
-    assert prefix == [("r", 0, 4, 1, "1"), ("r", 0, 4, 2, "4"), ("r", 0, 4, 3, "5")]
+        assert record.tokens == sorted(record.tokens)
+    prefix = similarity.prefixes(ordered, 0.5).where("side = 'r' AND id = 0")
+    named = similarity.with_tokens(prefix, order).orderBy("rank")
+    assert [(r.side, r.id, r.size, r.rank, r.token, r.freq) for r in named.collect()] == [
+        ("r", 0, 4, 1, "1", 2),
+        ("r", 0, 4, 2, "4", 3),
+        ("r", 0, 4, 3, "5", 4),
+    ]
+
+
+def drawn_sets(spark, seed, n=150):
+    """Sets of very different sizes over few tokens, so that many share a prefix token."""
+    pick = random.Random(seed)
+    return side(
+        spark, [(i, pick.sample(range(400), int(2 ** pick.uniform(1, 8)))) for i in range(n)]
+    )
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.6, 0.8, 0.95, 1.0])
+def test_only_neighbouring_sizes_meet(spark, threshold):
+    both = similarity.two_sided(drawn_sets(spark, 1), drawn_sets(spark, 2))
+    sets = similarity.canonical_order(both)
+    prefix = similarity.prefixes(sets, threshold)
+    met = similarity.met_in_prefix(prefix, threshold)
+    lowest = similarity.lowest_similarity(threshold)
+    near = (F.col("ssize") >= F.col("rsize") * lowest) & (F.col("rsize") >= F.col("ssize") * lowest)
+    n, fit = met.count(), met.where(near).count()
+    assert 0 < fit <= n <= 2 * fit
+    # None that the plain join on tokens finds is lost, and none is found twice.
+    r, s = (
+        prefix.where(F.col("side") == x).select("token_id", F.col("id").alias(f"{x}id"), F.col("size").alias(f"{x}size"))
+        for x in "rs"
+    )
+    assert r.join(s, "token_id").where(near).count() == fit
+
+
+def test_bitmaps_rule_out_most_false_candidates(spark):
+    both = similarity.two_sided(drawn_sets(spark, 3), drawn_sets(spark, 4))
+    sets = similarity.canonical_order(both).collect()
+    tokens = {(s.side, s.id): (set(s.tokens), s.bitmap) for s in sets}
+    pairs = [
+        (len(a), m, len(b), o, len(a & b) / len(a | b))
+        for (one, _), (a, m) in tokens.items()
+        for (two, _), (b, o) in tokens.items()
+        if one == "r" and two == "s" and 0.8 <= len(a) / len(b) <= 1.25
+    ]
+    kinds = "rsize int, rbitmap array<bigint>, ssize int, sbitmap array<bigint>, sim double"
+    table = spark.createDataFrame(pairs, kinds).withColumn("kept", similarity.bitmaps_allow(0.8))
+    true, false, kept = table.agg(
+        *(F.count_if(F.expr(c)) for c in ("sim >= 0.8", "sim < 0.8 AND kept", "sim >= 0.8 AND kept"))
+    ).first()
+    assert kept == true and false < 0.1 * (len(pairs) - true)
+
+
+def test_numbers_take_a_third_of_names(spark, tmp_path):
+    """Stored bytes of the ordered sets, against those of (frequency, token) structs."""
+    words = spark.range(400).select(
+        F.lit("r").alias("side"),
+        "id",
+        F.expr("transform(sequence(1, 300), x -> concat('token', pmod(xxhash64(id, x), 300000)))").alias("tokens"),
+    )
+    records = stored(words.select("side", "id", F.array_distinct("tokens").alias("tokens")))
+    order = similarity.token_order(records)
+    sets = similarity.canonical_order(records, order)
+    items = sets.select("side", "id", F.posexplode("tokens").alias("at", "token_id"))
+    structs = (
+        similarity.with_tokens(items, order)
+        .groupBy("side", "id")
+        .agg(F.sort_array(F.collect_list(F.struct("freq", "token"))).alias("tokens"))
+    )
+    sizes = []
+    for name, table in (("ids", sets.drop("bitmap")), ("structs", structs)):
+        table.coalesce(1).write.parquet(str(tmp_path / name))
+        sizes.append(sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet")))
+    assert 3 * sizes[0] <= sizes[1]
 
 
 def test_text_order(spark):
