@@ -12,12 +12,17 @@ vertex of even higher degree, of which there are few.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termweave.operators.skew import balanced_join, lookup_join
 from termweave.runtime import stored
 
+# Rounds of removing vertices that no cycle can pass.
+TRIM_ROUNDS = 16
+
 
 def vertices(edges: DataFrame) -> DataFrame:
     """``(vertex)``: every end point once."""
@@ -54,12 +59,8 @@ def simple_paths(edges: DataFrame, k: int) -> DataFrame:
     return paths.select("path", "n")
 
 
-def ranked_edges(edges: DataFrame) -> DataFrame:
-    """``(src, src_degree, dst, dst_degree, n)`` of edges whose ends could lie on a cycle.
-
-    A vertex without incoming or without outgoing edge is on no cycle.
-    """
-    known = stored(weighted_edges(edges))
+def _degrees(known: DataFrame) -> DataFrame:
+    """``(vertex, degree, out)``: number of different edges at each vertex, and of those that leave it."""
     ends = known.select(
         F.explode(
             F.array(
@@ -68,17 +69,35 @@ def ranked_edges(edges: DataFrame) -> DataFrame:
             )
         ).alias("end")
     ).select("end.*")
-    degrees = stored(
-        ends.groupBy("vertex")
-        .agg(F.count("*").alias("degree"), F.sum("out").alias("out"))
-        .where("out > 0 AND out < degree")
-    )
+    return stored(ends.groupBy("vertex").agg(F.count("*").alias("degree"), F.sum("out").alias("out")))
+
+
+def _with_degrees(known: DataFrame, degrees: DataFrame) -> DataFrame:
+    """Edges both of whose ends have a degree, with ``src_degree`` and ``dst_degree``."""
     for side in ("src", "dst"):
         degree = degrees.select(F.col("vertex").alias(side), F.col("degree").alias(f"{side}_degree"))
         known = lookup_join(known, degree, key=side, weight=f"{side}_degree")
     return known.select("src", "src_degree", "dst", "dst_degree", "n")
 
 
+def ranked_edges(edges: DataFrame, rounds: int = TRIM_ROUNDS) -> DataFrame:
+    """``(src, src_degree, dst, dst_degree, n)`` of edges whose ends could lie on a cycle.
+
+    A vertex without incoming or without outgoing edge is on no cycle, so it goes with its edges, and then
+    those that were left without such an edge thereby, until all have both.  That takes as many rounds as the longest chain that
+    leads nowhere has vertices; after ``rounds`` the rest of it stays, which costs some paths and changes no result.
+    """
+    known = stored(weighted_edges(edges))
+    degrees = _degrees(known)
+    alive = (F.col("out") > 0) & (F.col("out") < F.col("degree"))
+    for _ in range(rounds):
+        if degrees.where(~alive).isEmpty():
+            break
+        known = stored(_with_degrees(known, degrees.where(alive)).select("src", "dst", "n"))
+        degrees = _degrees(known)
+    return _with_degrees(known, degrees)
+
+
 def _lower(a: str, b: str) -> Column:
     """Whether vertex ``a`` ranks below vertex ``b``."""
     return F.struct(f"{a}_degree", a) < F.struct(f"{b}_degree", b)
@@ -150,25 +169,39 @@ def simple_cycles(edges: DataFrame, k: int) -> DataFrame:
     return around.select(rotated.alias("cycle"), "n")
 
 
+def _wide_sum(column: str) -> Column:
+    """An exact sum of non-negative 64-bit numbers, which may be larger than such a number."""
+    high, low = F.shiftright(column, 31), F.col(column).bitwiseAND((1 << 31) - 1)
+    whole = "decimal(20,0)"
+    return F.sum(high).cast(whole) * F.lit(1 << 31).cast("decimal(10,0)") + F.sum(low).cast(whole)
+
+
 def count_cycles(edges: DataFrame, k: int) -> DataFrame:
-    """``(n_cycles)``: number of directed simple cycles of ``k`` vertices.
+    """``(n_cycles)``: number of directed simple cycles of ``k`` vertices, as ``DECIMAL(38, 0)``.
 
-    Up to ``k = 4`` no cycle is listed.  Halves between the same two vertices combine
-    freely, except that for ``k = 4`` both may run through the same inner vertex, so the
-    count per pair of ends is ``forward * backward - shared``: sums only, no join.
+    No cycle is listed.  Halves between the same two vertices combine unless they share an inner vertex.  Pairs that share none
+    are counted by inclusion and exclusion: over all sets of inner vertices, with alternating sign, the number of forward halves
+    that pass the whole set times that of backward ones.  These are sums per pair of ends and set: no join.
     """
-    if k > 4:
-        cycles = simple_cycles(edges, k)
-        return cycles.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_cycles"))
     forward, backward = _halves(edges, k)
-    none = F.lit(0).cast("bigint")
-    path = ("start", "end", "inner")
-    halves = forward.select(*path, F.col("n").alias("f"), none.alias("b")).unionByName(
-        backward.select(*path, none.alias("f"), F.col("n").alias("b"))
-    )
-    shared = none
-    if k == 4:
-        halves = halves.groupBy(*path).agg(F.sum("f").alias("f"), F.sum("b").alias("b"))
-        shared = F.sum(F.col("f") * F.col("b"))
-    ends = halves.groupBy("start", "end").agg((F.sum("f") * F.sum("b") - shared).alias("n"))
-    return ends.agg(F.coalesce(F.sum("n"), none).alias("n_cycles"))
+    most_shared = k // 2 - 1
+
+    def by_set(half: DataFrame, inner: int, own: str, other: str) -> DataFrame:
+        counts = [F.col("n").alias(own), F.lit(0).cast("bigint").alias(other)]
+        if not most_shared:
+            return half.select("start", "end", F.lit(1).alias("sign"), *counts)
+        sets = [
+            F.struct(
+                F.lit((-1) ** size).alias("sign"),
+                F.sort_array(F.array(*(F.get("inner", F.lit(at)) for at in places)).cast("array<bigint>")).alias("shared"),
+            )
+            for size in range(most_shared + 1)
+            for places in combinations(range(inner), size)
+        ]
+        return half.select("start", "end", F.inline(F.array(*sets)), *counts)
+
+    halves = by_set(forward, k - k // 2 - 1, "f", "b").unionByName(by_set(backward, most_shared, "b", "f"))
+    keys = [column for column in halves.columns if column not in ("f", "b")]
+    met = halves.groupBy(*keys).agg((_wide_sum("f") * _wide_sum("b")).alias("n"))
+    total = F.sum(F.col("sign") * F.col("n")).cast("decimal(38,0)")
+    return met.agg(F.coalesce(total, F.lit(0).cast("decimal(38,0)")).alias("n_cycles"))

@@ -22,6 +22,12 @@ def unnest(rows: DataFrame, array: str, item: str, position: str | None = None)
     return rows.select(*kept, generate(array).alias(*names)).where(F.col(item).isNotNull())
 
 
+def summed_before(counts: DataFrame, n: str, *by: str) -> DataFrame:
+    """``counts`` with ``_before``, the sum of ``n`` over the rows before.  All in one task: for a row per partition or file."""
+    earlier = W.orderBy(*by).rowsBetween(W.unboundedPreceding, -1)
+    return counts.withColumn("_before", F.coalesce(F.sum(n).over(earlier), F.lit(0)))
+
+
 def places(rows: DataFrame, at: Column) -> tuple[DataFrame, Column]:
     """Rows and the expression of their place, from 0, by a column of ``monotonically_increasing_id``.
 
@@ -29,12 +35,8 @@ def places(rows: DataFrame, at: Column) -> tuple[DataFrame, Column]:
     row per partition, are summed in one task and broadcast.
     """
     kept = rows.withColumn("_part", F.shiftright(at, 33))
-    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    before = (
-        kept.groupBy("_part")
-        .agg(F.count("*").alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    )
+    counts = kept.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = summed_before(counts, "_n", "_part").select("_part", "_before")
     place = F.col("_before") + at.bitwiseAND((1 << 33) - 1)
     return kept.join(F.broadcast(before), "_part"), place
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from termweave.operators.rows import in_order, unnest
 from termweave.operators.skew import balanced_join, lookup_join
-from termweave.runtime import stored
+from termweave.runtime import SORTED_NUMBERS, stored
 
 SIMILARITY_DIGITS = 6
 # The threshold is applied to the rounded similarity, so the filters let through all
@@ -189,7 +189,7 @@ def join_records(records: DataFrame, threshold: float) -> DataFrame:
     distinct_sets = records.select("side", "id", "tokens").join(
         firsts.select("side", "id", "copies"), ["side", "id"]
     )
-    sets = stored(canonical_order(distinct_sets, order))
+    sets = stored(canonical_order(distinct_sets, order), **SORTED_NUMBERS)
     pairs = stored(candidates(prefixes(sets, threshold), threshold, positional=True))
 
     def known(side: str, *columns: Column) -> DataFrame:

@@ -177,3 +177,10 @@ ORACLES: dict[str, str] = {
                  string_split(translate(text, chr(13) || chr(10), '  '), ' '), lambda x: x <> ''))) AS token
         FROM documents""",
 }
+# What was saved and read back is the report.
+for _saved, _report in (
+    ("saved_postings", "postings_report"),
+    ("saved_relative_frequencies", "relative_frequency_report"),
+    ("saved_similarities", "similarity_report"),
+):
+    ORACLES[_saved] = ORACLES[_report]

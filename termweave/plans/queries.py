@@ -11,7 +11,7 @@ from termweave import sources
 from termweave.operators import cooccurrence, cycles, similarity, tfidf
 from termweave.operators.rows import places, unnest
 from termweave.plans import inputs
-from termweave.runtime import materialise, stored
+from termweave.runtime import SORTED_NUMBERS, materialise, shared_folder, stored
 
 THRESHOLD = 0.8
 
@@ -76,20 +76,24 @@ def cycles_k3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _columns(cycles.simple_cycles(inputs.edges(spark, sf_dir), 3), "cycle", 3)
 
 
+def _cycle_count(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    return cycles.count_cycles(inputs.edges(spark, sf_dir), k).select(F.col("n_cycles").cast("bigint"))
+
+
 def cycle_count_k2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cycles.count_cycles(inputs.edges(spark, sf_dir), 2)
+    return _cycle_count(spark, sf_dir, 2)
 
 
 def cycle_count_k3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cycles.count_cycles(inputs.edges(spark, sf_dir), 3)
+    return _cycle_count(spark, sf_dir, 3)
 
 
 def cycle_count_k4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cycles.count_cycles(inputs.edges(spark, sf_dir), 4)
+    return _cycle_count(spark, sf_dir, 4)
 
 
 def cycle_count_k5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cycles.count_cycles(inputs.edges(spark, sf_dir), 5)
+    return _cycle_count(spark, sf_dir, 5)
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +128,8 @@ def prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similarity_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = stored(similarity.canonical_order(stored(_records(spark, sf_dir))))
+    sets = similarity.canonical_order(stored(_records(spark, sf_dir)))
+    sets = stored(sets, **SORTED_NUMBERS)
     return similarity.candidates(similarity.prefixes(sets, THRESHOLD), THRESHOLD)
 
 
@@ -144,7 +149,14 @@ def similarity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def postings_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _numbered(sources.postings_lines(tfidf_inverted_index(spark, sf_dir)))
+    return _posting_fields(_numbered(sources.postings_lines(tfidf_inverted_index(spark, sf_dir))))
+
+
+def relative_frequency_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _frequency_fields(_numbered(sources.relative_frequency_lines(relative_term_frequency(spark, sf_dir))))
+
+
+def _posting_fields(lines: DataFrame) -> DataFrame:
     # Engines write small numbers in different ways, so the fields are read back from the line.
     fields = F.split("value", "[\t,]")
     return lines.select(
@@ -155,14 +167,31 @@ def postings_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def relative_frequency_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _numbered(sources.relative_frequency_lines(relative_term_frequency(spark, sf_dir)))
+def _frequency_fields(lines: DataFrame) -> DataFrame:
     fields = F.split("value", " ")
     return lines.select(
         "line_no", fields[0].alias("t1"), fields[1].alias("t2"), fields[2].cast("double").alias("freq")
     )
 
 
+def saved_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark)
+    sources.write_postings(tfidf_inverted_index(spark, sf_dir), path, files=7)
+    return _posting_fields(sources.read_saved(spark, path))
+
+
+def saved_relative_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark)
+    sources.write_relative_frequencies(relative_term_frequency(spark, sf_dir), path)
+    return _frequency_fields(sources.read_saved(spark, path))
+
+
+def saved_similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark)
+    sources.write_similarities(set_similarity_join(spark, sf_dir), path)
+    return sources.read_saved(spark, path)
+
+
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = sources.scan(spark, f"{sf_dir}/documents.parquet", "doc_id", "text")
     docs = sources.read_documents(spark, inputs.saved_lines(table, "doc_id", "text"))
@@ -210,6 +239,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         similarity_report,
         postings_report,
         relative_frequency_report,
+        saved_postings,
+        saved_relative_frequencies,
+        saved_similarities,
         read_documents,
         read_edges,
         read_token_sets,

@@ -14,11 +14,15 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
+# Parquet options for sorted numbers, of which only the differences are kept.
+SORTED_NUMBERS = {"parquet.writer.version": "v2", "parquet.enable.dictionary": "false"}
+
+
+def stored(df: DataFrame, **options: str) -> DataFrame:
     """``df`` as a table in the shared folder: later readers take only the columns they need."""
     spark = df.sparkSession
     path = shared_folder(spark)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

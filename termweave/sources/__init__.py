@@ -5,6 +5,7 @@ from termweave.sources.readers import (
     read_documents,
     read_edges,
     read_lines,
+    read_saved,
     read_token_sets,
 )
 from termweave.sources.tables import scan
@@ -25,6 +26,7 @@ __all__ = [
     "read_documents",
     "read_edges",
     "read_lines",
+    "read_saved",
     "read_token_sets",
     "relative_frequency_lines",
     "scan",

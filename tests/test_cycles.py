@@ -68,7 +68,7 @@ def test_short_cycles_are_refused(spark):
         cycles.count_cycles(graph(spark, TEN_EDGES), 1)
 
 
-@pytest.mark.parametrize("k", [2, 3, 4, 5])
+@pytest.mark.parametrize("k", [2, 3, 4, 5, 6, 7])
 def test_random_graph_with_a_hub(spark, k):
     pick = random.Random(k)
     edges = [(pick.randrange(7), pick.randrange(7)) for _ in range(24)]
@@ -81,6 +81,30 @@ def test_random_graph_with_a_hub(spark, k):
     assert count(spark, edges, k) == count(spark, relabelled, k) == sum(expected.values())
 
 
+@pytest.mark.parametrize(("k", "copies"), [(3, 3_000_000), (5, 7_000)])
+def test_counts_beyond_64_bits(spark, k, copies):
+    """Parallel edges multiply; ``copies ** k`` does not fit a 64-bit number."""
+    around = [(v, (v + 1) % k) for v in range(k)]
+    edges = spark.range(copies).crossJoin(graph(spark, around)).select("src", "dst")
+    assert copies**k > 1 << 63
+    assert int(rows(cycles.count_cycles(edges, k))[0][0]) == copies**k
+
+
+def test_chains_that_lead_nowhere_are_trimmed(spark):
+    ring = [(0, 1), (1, 2), (2, 0)]
+    chains = [(at, at + 1) for at in range(100, 112)] + [(112, 0)]  # into the ring
+    chains += [(2, 200)] + [(at, at + 1) for at in range(200, 212)]  # out of it
+    chains += [(300, 301), (301, 302), (300, 302)]  # apart
+    trimmed = cycles.ranked_edges(graph(spark, ring + chains))
+    assert sorted((r.src, r.dst) for r in trimmed.collect()) == sorted(ring)
+    assert {r.src_degree for r in trimmed.collect()} == {2}
+    assert count(spark, ring + chains, 3) == 1
+    # Fewer rounds leave more edges, and the same count.
+    few = cycles.ranked_edges(graph(spark, ring + chains), rounds=2)
+    assert len(ring) < few.count() < len(ring + chains)
+    assert rows(cycles.count_cycles(graph(spark, chains), 3)) == [(0,)]
+
+
 def test_paths_and_vertices(spark):
     edges = [(0, 1), (0, 1), (1, 2), (1, 0), (2, 2), (2, 0)]
     assert {(tuple(p), n) for p, n in rows(cycles.simple_paths(graph(spark, edges), 3))} == {

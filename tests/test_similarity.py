@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from termweave.operators import similarity
-from termweave.runtime import stored
+from termweave.runtime import SORTED_NUMBERS, stored
 from termweave.sources import similarity_lines
 
 R = [(0, [1, 4, 5, 6]), (1, [2, 3, 6]), (2, [4, 5, 6])]
@@ -160,8 +160,8 @@ def test_numbers_take_a_third_of_names(spark, tmp_path):
         .agg(F.sort_array(F.collect_list(F.struct("freq", "token"))).alias("tokens"))
     )
     sizes = []
-    for name, table in (("ids", sets.drop("bitmap")), ("structs", structs)):
-        table.coalesce(1).write.parquet(str(tmp_path / name))
+    for name, table, options in (("ids", sets.drop("bitmap"), SORTED_NUMBERS), ("structs", structs, {})):
+        table.coalesce(1).write.options(**options).parquet(str(tmp_path / name))
         sizes.append(sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet")))
     assert 3 * sizes[0] <= sizes[1]
 

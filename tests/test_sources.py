@@ -1,5 +1,6 @@
 import pytest
 from conftest import rows
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from termweave.functions import document_tokens, letter_runs, line_tokens, space_tokens
@@ -9,6 +10,7 @@ from termweave.sources import (
     parse_token_sets,
     read_documents,
     read_edges,
+    read_saved,
     read_token_sets,
     write_postings,
     write_relative_frequencies,
@@ -105,3 +107,31 @@ def test_written_text(spark, tmp_path):
     pairs = spark.createDataFrame([(1, 2, 0.9)], "rid long, sid long, sim double")
     write_similarities(pairs, str(tmp_path / "pairs"))
     assert "".join(parts(tmp_path / "pairs")) == "(1,2)\t0.9\n"
+
+
+def test_rejected_lines_are_counted(spark, tmp_path):
+    cases = (
+        (read_documents, "1 a b\nx c\n\n2\nseven d\n", 4, 2),
+        (read_edges, "0 1 2\n1 a 2\n2 3\n \n3 4 5\n", 4, 2),
+        (read_token_sets, "1 a\n1.5 b\n", 2, 1),
+    )
+    for at, (reader, text, read, rejected) in enumerate(cases):
+        path = tmp_path / f"lines{at}"
+        path.write_text(text)
+        seen = Observation(f"lines{at}")
+        assert reader(spark, str(path), rejects=seen).count() == read - rejected
+        assert seen.get == {"read": read, "rejected": rejected}
+
+
+def test_saved_lines_come_back_in_order(spark, tmp_path, request):
+    name = "spark.sql.files.maxPartitionBytes"
+    request.addfinalizer(lambda before=spark.conf.get(name): spark.conf.set(name, before))
+    values = [f"line {at:05d}" for at in range(3_000)]
+    table = spark.createDataFrame(list(enumerate(values)), "at long, value string")
+    path = str(tmp_path / "saved")
+    table.repartitionByRange(5, "at").sortWithinPartitions("at").select("value").write.text(path)
+    spark.conf.set(name, "3000")  # several parts a file
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.files.openCostInBytes"))
+    got = sorted((r.line_no, r.value) for r in read_saved(spark, path).collect())
+    assert got == [(at + 1, value) for at, value in enumerate(values)]
