@@ -173,7 +173,10 @@ class Encoder:
         """The ids of all texts, one after the other, and the number of ids of each."""
         if len(self.numbers) > KEPT:
             self._forget()
-        cut = [[] if not text or self.whole.search(text) else text.split() for text in texts]
+        alone = [i for i, text in enumerate(texts) if text and self.whole.search(text)]
+        cut = [(text or "").split() for text in texts]
+        for i in alone:
+            cut[i] = []
         known = len(self.numbers)
         number = self.numbers.__getitem__
         n_pieces = np.fromiter(map(len, cut), np.int64, len(cut))
@@ -183,7 +186,6 @@ class Encoder:
         ends = np.cumsum(size)
         ids = self.ids[np.repeat(begin - (ends - size), size) + np.arange(int(size.sum()))]
         counts = np.diff(np.concatenate([[0], ends])[np.cumsum(np.append(0, n_pieces))])
-        alone = [i for i, text in enumerate(texts) if text and not cut[i] and not text.isspace()]
         if not alone:
             return ids, counts
         parts = np.split(ids, np.cumsum(counts)[:-1])
