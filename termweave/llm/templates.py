@@ -1,18 +1,19 @@
 """Main text of web pages by removal of site templates.
 
-Each element subtree of a page is hashed (its tag, its text and its children's hashes), and Spark counts on
-how many pages a subtree stands at a place, a place being a host and the chain of tags and classes that
+Each element subtree of a page, articles included, is hashed (its tag, its text and its children's hashes), and Spark
+counts on how many different pages a subtree stands at a place, a place being a host and the chain of tags and classes that
 leads to the element.  A subtree is a template if it stands on many pages (``LEAST_PAGES``), at a place of which nearly all
-subtrees do 
-(``PLACE_SHARE``): menus, adverts and footers rotate among a few variants, while
-articles that are copied between pages share their place with others that are not.  Templates are deleted at
-their places, unless that would leave a page without text; an equal subtree elsewhere in a page stays.
+subtrees do (``PLACE_SHARE``): menus, adverts and footers rotate among a few variants, while
+articles that are copied between pages share their place with others that are not.  Copies of a whole page count once.
+Templates are deleted at their places; an equal subtree elsewhere in a page stays.
 
-What a page's own markup declares as something else than the article goes as well, since it may occur once
-only: elements such as ``nav``, ``footer``, ``form``, ``script``, and those whose class, id or role says menu,
-advert, comment and so on.  Text is that of the page's article, or of its main part, or of its body.
+What a page's own markup declares as something else than text goes as well, since it may occur once
+only: elements such as ``nav``, ``footer``, ``form``, ``script``, and those whose class, id or role names a menu,
+an advert, comments and so on, all words of the name being such words (``site-footer``, but not ``share-price``); headings stay, and inside
+an article fewer words count.  Of what is left, articles stand alone if they hold most of it, all of them in page order; else, in the same way, main
+parts; else the whole body.  A page whose article is all template keeps the article; any other such page is empty.
 
-Null and empty pages have an empty text.  Broken markup is read as browsers do in the common cases: elements
+Null and empty pages have an empty text, and a table without rows gives none.  Broken markup is read as browsers do in the common cases: elements
 left open, end tags without a start, a tag cut off at the end.  Pages without url or host share the host ''.
 Rows that repeat are extracted each.
 """
@@ -28,7 +29,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termweave.llm.common import written
+from termweave.llm.common import if_small, written
+from termweave.operators.skew import lookup_join
 
 LEAST_PAGES = 10
 PLACE_SHARE = 0.9
@@ -46,7 +48,6 @@ BLOCKS = frozenset(
     " option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 CLOSES_P = BLOCKS - frozenset("caption dd dt body html legend li option summary tbody td tfoot th thead tr".split())
-HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # An element that ends an open one of the second set, up to an element of the third.
 SIBLINGS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -75,17 +76,24 @@ OTHER_WORDS = frozenset(
     " recommended comment comments commentlist disqus reply replies respond pagination pager toolbar"
     " login search skip banner widget".split()
 )
-KEPT_TAGS = frozenset("html body main article".split())
+# Those that say as much inside an article, and words that say nothing by themselves.
+INSIDE_WORDS = OTHER_WORDS - frozenset(
+    "header masthead banner notice notices alert search login widget skip menu toolbar footer".split()
+)
+NEUTRAL_WORDS = frozenset(
+    "site top bottom left right global list box block container wrapper inner area bar links link"
+    " item items post unit slot primary secondary mobile desktop panel overlay form thread".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+KEPT_TAGS = frozenset("html body main article hgroup".split()) | HEADINGS
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|"
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(
-    r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|\Z)",
-    re.I,
-)
+# Each attribute by itself, so that neither values nor longer names are taken for one.
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 WORD = re.compile(r"[a-z0-9]+")
 
 
@@ -99,27 +107,35 @@ class Node:
         self.spot = (0, 0)  # hash of host and place, key
 
 
-def _declared(tag: str, attributes: str) -> tuple[str, bool]:
+def _names_other(names: str, words: frozenset[str]) -> bool:
+    """Whether one of the names consists of words for what is no article, and of neutral ones."""
+    for name in names.split():
+        parts = set(WORD.findall(name))
+        if not parts.isdisjoint(words) and parts <= words | NEUTRAL_WORDS:
+            return True
+    return False
+
+
+def _declared(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
     """Class names of a start tag, and whether it says that it is not part of an article."""
     if not attributes or attributes.isspace():
         return "", tag in OTHER_TAGS
-    found = {
-        m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "").lower()
-        for m in ATTRIBUTE.finditer(attributes)
-    }
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(attributes):
+        found.setdefault(m[1].lower(), entities.unescape(m[2] or m[3] or m[4] or "").lower())
     names = ".".join(sorted(found.get("class", "").split()))
     if tag in OTHER_TAGS:
         return names, True
-    if tag in KEPT_TAGS:
-        return names, False
-    words = set(WORD.findall(found.get("class", ""))) | set(WORD.findall(found.get("id", "")))
     hidden = (
         "hidden" in found
         or found.get("aria-hidden") == "true"
         or "display:none" in found.get("style", "").replace(" ", "")
     )
+    if hidden or tag in KEPT_TAGS:
+        return names, hidden and tag not in KEPT_TAGS
+    words = INSIDE_WORDS if inside else OTHER_WORDS
     role = found.get("role", "") in OTHER_ROLES
-    return names, hidden or role or not OTHER_WORDS.isdisjoint(words)
+    return names, role or any(_names_other(found.get(at, ""), words) for at in ("class", "id"))
 
 
 def parse(html: str) -> Node:
@@ -162,9 +178,10 @@ def parse(html: str) -> Node:
                     break
                 if stack[depth].tag in ended:
                     del stack[depth:]
-        names, other = _declared(tag, attributes)
+        inside = any(node.tag in ("article", "main") for node in stack)
+        names, other = _declared(tag, attributes, inside)
         if tag == "header":
-            other = other or not any(node.tag in ("article", "main") for node in stack)
+            other = other or not inside
         place = f"{stack[-1].place}>{tag}.{names}" if names else f"{stack[-1].place}>{tag}"
         node = Node(tag, place, other)
         stack[-1].children.append(node)
@@ -264,19 +281,20 @@ def blocks(root: Node, gone: frozenset[tuple[int, int]] = frozenset()) -> list[s
     return out
 
 
+def _parts(root: Node, tag: str, gone: frozenset[tuple[int, int]]) -> list[str]:
+    """The blocks of all outermost elements of a kind, in page order."""
+    return [block for node in _find(root, (tag,), gone) for block in blocks(node, gone)]
+
+
 def main_text(root: Node, templates: frozenset[tuple[int, int]] = frozenset()) -> str:
     """The article's blocks with an empty line between them, without ``(place, key)`` that are templates."""
-    for gone in (templates, frozenset()):
-        parts: list[list[str]] = []
-        for tags in (("article",), ("main",), ("body",), ("",)):
-            parts = [found for node in _find(root, tags, gone) if (found := blocks(node, gone))]
-            if parts:
-                break
-        if parts or not gone:
-            # Of several articles the longest is the page's own.
-            best = max(parts, key=lambda part: sum(map(len, part)), default=[])
-            return "\n\n".join(best)
-    return ""
+    whole = blocks(root, templates)
+    size = sum(map(len, whole))
+    for tag in ("article", "main"):
+        part = _parts(root, tag, templates)
+        if part and 2 * sum(map(len, part)) >= size:
+            return "\n\n".join(part)
+    return "\n\n".join(whole or _parts(root, "article", frozenset()))
 
 
 def _host() -> Column:
@@ -333,7 +351,12 @@ def extract_pages(
         # Rows that agree in all of these have the same templates.
         F.xxhash64("page_id", "url", "html").alias("page"),
     )
-    found = _subtrees(keyed)
+    # Of pages that are equal on a host, one is counted.
+    narrow = written(keyed.select("page", F.xxhash64("host", "html").alias("content")))
+    firsts = narrow.groupBy("content").agg(F.min("page").alias("first"), F.count("*").alias("n"))
+    copies = lookup_join(narrow, written(firsts.where("n > 1")), "content", "n")
+    copies = written(copies.where("page != first").select("page").distinct())
+    found = _subtrees(keyed.join(if_small(copies), "page", "left_anti"))
     templates = site_templates(found, least_pages)
     if templates.count() <= few:
         known = pages.sparkSession.sparkContext.broadcast(
@@ -352,7 +375,7 @@ def extract_pages(
         texts = keyed.select("page_id", "url", extracted("html", "host").alias("text"))
     else:
         by_page = (
-            found.join(templates, ["place", "key"])
+            _subtrees(keyed).join(templates, ["place", "key"])
             .groupBy("page")
             .agg(F.collect_set(F.array("place", "key")).alias("templates"))
         )

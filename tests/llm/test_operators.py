@@ -699,6 +699,82 @@ def test_templates_are_removed(spark, few):
     assert templates.extract_pages(pages.limit(0), few=few).count() == 0
 
 
+def _plain_extraction(rows, least, share):
+    """Templates by whole serialised subtrees in dictionaries, one page after the other."""
+
+    def walk(node, chain):
+        text = node.tag + "|" + "|".join(
+            f"<{walk_text(c)}>" if isinstance(c, templates.Node) else " ".join(c.split()) for c in node.children
+            if isinstance(c, templates.Node) or c.strip()
+        )
+        if node.tag:
+            yield chain + node.place, text, node
+        for child in node.children:
+            if isinstance(child, templates.Node) and child.tag != "head":
+                yield from walk(child, chain)
+
+    def walk_text(node):
+        return node.tag + "|" + "|".join(
+            f"<{walk_text(c)}>" if isinstance(c, templates.Node) else " ".join(c.split()) for c in node.children
+            if isinstance(c, templates.Node) or c.strip()
+        )
+
+    def host(url):
+        return re.match("[a-z]+://([^/]+)", url)[1] + " "
+
+    counts: dict[tuple, int] = {}
+    for url, page in {(host(url), page) for _, url, page in rows}:
+        for key in {(place, text) for place, text, _ in walk(templates.parse(page), url)}:
+            counts[key] = counts.get(key, 0) + 1
+    places: dict[str, list[int]] = {}
+    for (place, _), n in counts.items():
+        both = places.setdefault(place, [0, 0])
+        both[0] += n
+        both[1] += n if n >= least else 0
+    gone = {
+        key for key, n in counts.items() if n >= least and places[key[0]][1] >= share * places[key[0]][0]
+    }
+
+    def prune(node, chain):
+        node.children = [
+            c for c in node.children
+            if not isinstance(c, templates.Node) or (chain + c.place, walk_text(c)) not in gone
+        ]
+        for child in node.children:
+            if isinstance(child, templates.Node):
+                prune(child, chain)
+
+    texts = []
+    for page_id, url, page in rows:
+        root, whole = templates.parse(page), templates.parse(page)
+        # Subtrees are compared as they were, so outer ones are looked at before inner ones are cut.
+        prune(root, host(url))
+        text = templates.main_text(root)
+        if not text:
+            text = "\n\n".join(templates._parts(whole, "article", frozenset()))
+        texts.append((page_id, text))
+    return texts
+
+
+def test_templates_equal_a_plain_count(spark):
+    """Several hosts, templates inside articles, variants, copies of whole pages and pages of templates only."""
+    pick = random.Random(11)
+    rows = []
+    for at in range(160):
+        name = pick.choice(("a.example", "b.example", "c.example"))
+        notice = f"<div class=n>Notice {pick.randrange(2)} of {name}</div>" if pick.random() < 0.9 else ""
+        inner = f"<section class=k><p>Read on {name} {pick.randrange(2)}</p></section>"
+        own = "".join(f"<p>{name} own {pick.randrange(10**6)}</p>" for _ in range(pick.randint(0, 3)))
+        article = pick.choice(("<article>{}{}</article>", "<div class=t>{}{}</div>")).format(own, inner)
+        rows.append((at, f"http://{name}/{at}", f"<html><body>{notice}{article}<b>tail {pick.randrange(3)}</b></body></html>"))
+    rows += [(200 + at, f"http://a.example/{at}", rows[0][2]) for at in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.text) for r in templates.extract_pages(pages).collect())
+    assert got == sorted(_plain_extraction(rows, templates.LEAST_PAGES, templates.PLACE_SHARE))
+    without = [templates.main_text(templates.parse(page)) for _, _, page in rows]
+    assert sum(a != b for (_, a), b in zip(got, without, strict=True)) > len(rows) / 2
+
+
 @pytest.mark.parametrize("few", [1_000, 0])
 def test_templates_stay_outside_their_place(spark, few):
     menu = "<div class=m><ul><li><a href='/news'>News</a><li>Offer of the day</ul></div>"
@@ -724,7 +800,14 @@ def test_templates_stay_outside_their_place(spark, few):
         ("<nav>n</nav><main><p>a</p><form>f</form></main><footer>f</footer>", "a"),
         ("<script>var t='</p>';</script><p>ok<!-- <p>no --></p><p>cut &am", "ok\n\ncut &am"),
         ("<p title='a>b'>q</p></div></p><p>r <a href=", "q\n\nr"),
-        ("<article>short</article><article>the longer one</article>", "the longer one"),
+        ("<article>short</article><article>the longer one</article>", "short\n\nthe longer one"),
+        ("<article>teaser</article><div>the long text of the page</div>", "teaser\n\nthe long text of the page"),
+        ("<article><h2 class='section-header'>h</h2><p>x</article>", "h\n\nx"),
+        ("<article><div class='article-header'><h1>T</h1></div>x</article>", "T\n\nx"),
+        ("<body><p class='share-price'>9.50<p class='review-widget-free search-result'>r", "9.50\n\nr"),
+        ("<p title='a hidden gem'>g</p><p data-id='menu-7'>m</p><p id=menu-7>n</p>", "g\n\nm\n\nn"),
+        ("<p data-x=\"class='ad'\" class='lead'>l<div class='site-footer'>no</div><div id='cookie-notice'>no</div>", "l"),
+        ("<article><div class='header'><h1>T</h1></div><div class='share-buttons ad'>no</div>x</article>", "T\n\nx"),
         ("<div hidden>no</div><div style='display: none'>no</div><p>1 < 2 &lt; 3", "1 < 2 < 3"),
         ("<article>" + "<div>" * 3_000 + "deep", "deep"),
     ],
