@@ -9,8 +9,8 @@ enough is a share of all, the smallest with recall ``RECALL`` on that sample aga
 Cells are packed in blocks of at most about ``BLOCK_ROWS`` rows, and a query goes to all blocks of
 its cells, so a cell may hold any share of the rows.
 
-Which vectors take part, and which row counts of those that repeat an id: ``vectors.usable``.  Ties
-go to the smaller id.  An empty table gives no rows.
+Out stay rows with a null id, vectors of zeros, and vectors as ``vectors.finite`` says.  Rows that repeat an id are
+rows of their own.  Ties go to the smaller id.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,12 +25,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from termweave.llm.common import written
-from termweave.llm.vectors import matrix, packed, sampled, unpacked, usable
+from termweave.llm.vectors import finite, matrix, packed, sampled, unpacked
 
 SAMPLE = 12_000
 CELL_ROWS = 200
 LARGEST_CODEBOOK = 256
-RECALL = 0.97
+RECALL = 0.95
 BLOCK_ROWS = 2_048
 QUERY_ROWS = 512
 SLACK = 1e-9
@@ -135,10 +135,12 @@ def share_needed(index: Index, sample: np.ndarray, k: int, recall: float) -> flo
 def search(vectors: DataFrame, every: int = 50, k: int = 5, recall: float = RECALL) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: neighbours of the rows whose id ``every`` divides."""
     spark = vectors.sparkSession
-    rows = written(usable(vectors, allow_zero=False))
+    fine = finite(vectors).where(F.col("vec_id").isNotNull() & F.exists("v", lambda x: x != 0))
+    # Numbered as written, so that rows that repeat an id stay apart.
+    rows = written(fine.withColumn("row", F.monotonically_increasing_id()))
     n = rows.count()
     sample = sampled(rows, n, SAMPLE)
-    schema = "query_id long, vec_id long, score double"
+    schema = "query_row long, query_id long, vec_id long, score double"
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = unit(sample)
@@ -152,7 +154,7 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, recall: float = RECA
             if len(batch):
                 yield batch.assign(cell=shared.value.cells(unit(matrix(batch["v"]))))
 
-    indexed = written(rows.mapInPandas(assign, "vec_id long, v array<double>, cell int"))
+    indexed = written(rows.mapInPandas(assign, "vec_id long, v array<double>, row long, cell int"))
     counts = np.zeros(size * size, dtype=np.int64)
     for row in indexed.groupBy("cell").count().collect():  # at most LARGEST_CODEBOOK ** 2
         counts[row["cell"]] = row["count"]
@@ -164,13 +166,14 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, recall: float = RECA
     def block_of(cell: pd.Series, key: pd.Series) -> pd.Series:
         return pd.Series((key.to_numpy() % plan.value[1][cell.to_numpy()]).astype(np.int32))
 
-    spread = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30))
+    spread = F.pmod(F.xxhash64("row"), F.lit(1 << 30))
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         first = {"cell": group["cell"].iloc[0], "block": group["block"].iloc[0]}
-        return pd.DataFrame([first | packed(group["vec_id"].to_numpy(), matrix(group["v"]))])
+        keys = {"keys": group["row"].to_numpy().astype("<i8").tobytes()}
+        return pd.DataFrame([first | keys | packed(group["vec_id"].to_numpy(), matrix(group["v"]))])
 
-    kept = "cell int, block int, ids binary, rows binary"
+    kept = "cell int, block int, keys binary, ids binary, rows binary"
     candidates = (
         indexed.withColumn("block", block_of("cell", spread))
         .groupBy("cell", "block")
@@ -180,29 +183,30 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, recall: float = RECA
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index, (counts, blocks) = shared.value, plan.value
         for batch in batches:
-            for vec_id, v in zip(batch["vec_id"], batch["v"], strict=True):
+            for vec_id, v, row in zip(batch["vec_id"], batch["v"], batch["row"], strict=True):
                 cells = np.array(index.traverse(unit(np.array([v]))[0], counts, enough), dtype=int)
                 cell = np.repeat(cells, blocks[cells])
                 block = np.concatenate([np.arange(blocks[c]) for c in cells])
-                yield pd.DataFrame({"vec_id": vec_id, "v": [v] * len(cell), "cell": cell, "block": block})
+                yield pd.DataFrame(
+                    {"vec_id": vec_id, "v": [v] * len(cell), "row": row, "cell": cell, "block": block}
+                )
 
     chunks = max(1, -(-n // (every * QUERY_ROWS)))
     visits = (
         rows.where(F.pmod("vec_id", F.lit(every)) == 0)
-        .mapInPandas(visit, "vec_id long, v array<double>, cell int, block int")
+        .mapInPandas(visit, "vec_id long, v array<double>, row long, cell int, block int")
         .groupBy("cell", "block", F.pmod(spread, F.lit(chunks)).alias("chunk"))
         .applyInPandas(pack, kept)
-        .select("cell", "block", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"))
+        .select("cell", "block", *(F.col(c).alias(f"q_{c}") for c in ("keys", "ids", "rows")))
     )
 
     def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for ids, data, q_ids, q_data in batch[["ids", "rows", "q_ids", "q_rows"]].itertuples(
-                index=False
-            ):
-                (ids, data), (q_ids, q_data) = unpacked(ids, data), unpacked(q_ids, q_data)
+            for row in batch.itertuples(index=False):
+                (ids, data), (q_ids, q_data) = unpacked(row.ids, row.rows), unpacked(row.q_ids, row.q_rows)
+                keys, q_keys = np.frombuffer(row.keys, "<i8"), np.frombuffer(row.q_keys, "<i8")
                 near = unit(q_data) @ unit(data).T
-                near[q_ids[:, None] == ids[None]] = -np.inf
+                near[q_keys[:, None] == keys[None]] = -np.inf
                 found = []
                 least = np.partition(near, -k, axis=1)[:, -k] if len(ids) > k else None
                 for at, query in enumerate(q_ids):
@@ -210,10 +214,10 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, recall: float = RECA
                     close = np.flatnonzero(near[at] >= floor)
                     scores = cosines(q_data[at], data[close])
                     best = np.lexsort((ids[close], -scores))[:k]
-                    found += [(query, ids[close[b]], scores[b]) for b in best]
-                yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+                    found += [(q_keys[at], query, ids[close[b]], scores[b]) for b in best]
+                yield pd.DataFrame(found, columns=["query_row", "query_id", "vec_id", "score"])
 
     scored = candidates.join(visits, ["cell", "block"]).mapInPandas(rank, schema)
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = W.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -1,19 +1,20 @@
 """Exact top-k by integer inner product, with pivot-table elimination.
 
-A table holds each vector's distances to some pivots.  By the triangle inequality the largest
-difference of two vectors' distances to a pivot is a lower bound on their own distance ``d``, and
+A table holds each vector's distances to some pivots; it is computed once and lies beside the vectors.  By the triangle
+inequality the largest difference of two vectors' distances to a pivot is a lower bound on their own distance ``d``, and
 ``q . x = (|q|^2 + |x|^2 - d^2) / 2`` turns it into an upper bound on the score.  Candidates are met in
 the order of that bound, until it falls below the k-th best score: no later one can enter.
 
-Vectors lie in blocks by their nearest pivot.  A first round gives every query the k-th best score of
-one block of its own pivot.  A second one sends the queries of a pivot to those blocks that the bound
-of block against pivot group does not rule out; inside, candidates are sorted by their best bound for the
-block's queries and evaluated slice by slice, and a query stops at the slice whose bounds are all
+Vectors lie in blocks, and queries in at most some ``TILES`` tiles, both ordered by their nearest pivot.  A first round gives every query the
+k-th best score of the block that the bound of tile against block ranks highest.  A second one sends tiles to those other blocks that
+this bound does not rule out; inside, candidates are sorted by their best bound for the
+tile's queries and evaluated slice by slice, and a query stops at the slice whose bounds are all
 below its k-th best.  Pivots come from a bounded sample (``SAMPLE`` rows); nothing else is sampled, and the
 result does not depend on them.
 
 Scores are whole numbers of up to 63 bits and exact: in doubles below 2^53, else in 64-bit integers.
-Which vectors take part, and which row counts of those that repeat an id: ``vectors.usable``.  Ties go to the
+Out stay rows with a null id, and vectors as ``vectors.finite`` says.  Rows that repeat an id are rows of their own, each a
+candidate of the others and, where the id is a query's, a query.  Ties go to the
 smaller id.  An empty table gives no rows.
 """
 
@@ -27,13 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from termweave.llm.common import written
-from termweave.llm.vectors import matrix, packed, sampled, unpacked, usable
+from termweave.llm.common import fraction, tidy, written
+from termweave.llm.vectors import finite, matrix, sampled
 
-PIVOTS = 16
+PIVOTS = 32
 SAMPLE = 2_048
-BLOCK_ROWS = 4_096
+BLOCK_ROWS = 8_192
 QUERY_ROWS = 512
+TILES = 1_024
 SLICE = 512
 NONE = -(1 << 62)
 
@@ -76,229 +78,196 @@ def scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return queries.astype(np.int64) @ rows.astype(np.int64).T
 
 
-def best_in_block(
-    q_ids: np.ndarray,
-    queries: np.ndarray,
-    known: np.ndarray,
-    ids: np.ndarray,
-    rows: np.ndarray,
-    pivots: np.ndarray,
-    k: int,
-) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per query, ids and scores of those candidates that may be among its best k.
+class Packed:
+    """The rows of a block or tile."""
+
+    def __init__(self, row):
+        self.rows, self.ids = np.frombuffer(row["rows"], "<i8"), np.frombuffer(row["ids"], "<i8")
+        self.vectors = np.frombuffer(row["vectors"], "<f8").reshape(len(self.ids), -1)
+        self.table = np.frombuffer(row["table"], "<f8").reshape(len(self.ids), -1)
+        self.squares = (self.vectors**2).sum(axis=1)
+
+
+_PAYLOAD = ("rows", "ids", "vectors", "table")
+_BLOCK = (
+    "block long, rows binary, ids binary, vectors binary, table binary,"
+    " low array<double>, high array<double>, most double"
+)
+
+
+def _pack(frame: pd.DataFrame, block: int) -> dict:
+    # By id, so that of equal scores the first found is the one that counts.
+    frame = frame.sort_values(["vec_id", "row"])
+    data, table = matrix(frame["v"]), matrix(frame["distances"])
+    return {
+        "block": block,
+        "rows": frame["row"].to_numpy().astype("<i8").tobytes(),
+        "ids": frame["vec_id"].to_numpy().astype("<i8").tobytes(),
+        "vectors": data.astype("<f8").tobytes(),
+        "table": table.astype("<f8").tobytes(),
+        "low": table.min(axis=0),
+        "high": table.max(axis=0),
+        "most": (data**2).sum(axis=1).max(),
+    }
+
+
+def _blocks(rows: DataFrame, size: int) -> DataFrame:
+    """Rows in packs of some ``size``, laid along a line by their nearest pivot, at places that a hash decides."""
+    counts = {
+        row["home"]: row["n"] for row in rows.groupBy("home").agg(F.count("*").alias("n")).collect()
+    }  # at most PIVOTS rows
+    place, total = F.lit(0), 0
+    for home, n in sorted(counts.items()):
+        inside = F.lit(total) + F.floor(fraction("row") * n)
+        place = F.when(F.col("home") == home, inside).otherwise(place)
+        total += n
+
+    def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([_pack(frame, key[0])])
+
+    dealt = rows.withColumn("block", F.floor(place / size).cast("bigint"))
+    return written(dealt.groupBy("block").applyInPandas(pack, _BLOCK))
+
+
+def _take(found: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Up to ``k`` times the best that is left of each row, as rows, places and scores; uses up ``found``."""
+    every = np.arange(len(found))
+    for _ in range(k if found.shape[1] else 0):
+        at = found.argmax(axis=1)
+        best = found[every, at]
+        hit = np.flatnonzero(best > NONE)
+        if not len(hit):
+            return
+        yield hit, at[hit], best[hit]
+        found[every, at] = NONE
+
+
+def best_in_block(tile: Packed, known: np.ndarray, block: Packed, k: int) -> pd.DataFrame:
+    """Those candidates of a block that may be among the best ``k`` of a tile's queries.
 
     ``known`` is a score that k candidates of the query are known to reach.
     """
-    bounds = upper_bounds(
-        distances(queries, pivots), (queries**2).sum(axis=1),
-        distances(rows, pivots), (rows**2).sum(axis=1),
-    )
+    bounds = upper_bounds(tile.table, tile.squares, block.table, block.squares)
     order = np.argsort(-bounds.max(axis=0), kind="stable")
     cuts = range(0, len(order), SLICE)
     slice_bounds = np.stack([bounds[:, order[at : at + SLICE]].max(axis=1) for at in cuts], axis=1)
     # The largest bound of this slice and all later ones.
     slice_bounds = np.maximum.accumulate(slice_bounds[:, ::-1], axis=1)[:, ::-1]
-    floor = known.copy()
-    found: list[tuple[list, list]] = [([], []) for _ in q_ids]
+    best = np.full((len(tile.ids), k), NONE)
+    best[:, -1] = known  # a floor that is no candidate
+    out = [(np.zeros(0, dtype=np.int64),) * 3]
     for step, at in enumerate(cuts):
-        going = np.flatnonzero(slice_bounds[:, step] >= floor)
+        going = np.flatnonzero(slice_bounds[:, step] >= best[:, -1])
         if not len(going):
             break
-        part = order[at : at + SLICE]
-        got = scores(queries[going], rows[part])
-        got[q_ids[going][:, None] == ids[part][None]] = NONE
-        for place, where in enumerate(going):
-            hit = np.flatnonzero((got[place] >= floor[where]) & (got[place] > NONE))
-            if len(hit):
-                held_ids, held = found[where]
-                held_ids.append(ids[part[hit]])
-                held.append(got[place, hit])
-                if sum(map(len, held)) >= k:
-                    all_ids, all_scores = np.concatenate(held_ids), np.concatenate(held)
-                    best = np.lexsort((all_ids, -all_scores))[:k]
-                    found[where] = ([all_ids[best]], [all_scores[best]])
-                    floor[where] = max(floor[where], all_scores[best[-1]])
-    none = np.zeros(0, dtype=np.int64)
-    return [
-        (np.concatenate([none, *held_ids]), np.concatenate([none, *held]))
-        for held_ids, held in found
-    ]
+        part = np.sort(order[at : at + SLICE])
+        got = scores(tile.vectors[going], block.vectors[part])
+        got[tile.rows[going][:, None] == block.rows[part][None]] = NONE
+        got[got < best[going, -1:]] = NONE
+        held = []
+        for who, where, score in _take(got, k):
+            out.append((going[who], part[where], score))
+            held.append((who, score))
+        fresh = np.full((len(going), k), NONE)
+        for column, (who, score) in enumerate(held):
+            fresh[who, column] = score
+        both = np.concatenate([best[going], fresh], axis=1)
+        best[going] = np.maximum(-np.sort(-both, axis=1)[:, :k], best[going, -1:])
+    at, where, score = (np.concatenate(parts) for parts in zip(*out, strict=True))
+    kept = score >= best[at, -1]
+    at, where, score = at[kept], where[kept], score[kept]
+    return pd.DataFrame(
+        {"at": at, "query_id": tile.ids[at], "row": block.rows[where], "vec_id": block.ids[where], "score": score}
+    )
 
 
 def top_k(vectors: DataFrame, scale: float = 64.0, every: int = 20, k: int = 20) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` for the rows whose id ``every`` divides."""
     spark = vectors.sparkSession
     whole = F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("double"))
-    rows = written(usable(vectors, allow_zero=True).select("vec_id", whole.alias("v")))
-    n = rows.count()
-    sample = sampled(rows, n, SAMPLE)
-    result = "query_id long, rank int, vec_id long, score long"
-    if not len(sample):
-        return spark.createDataFrame([], result)
-    # At most PIVOTS vectors.
-    shared = spark.sparkContext.broadcast(choose_pivots(sample, PIVOTS))
-
-    def home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                table = distances(matrix(batch["v"]), shared.value)
-                yield batch.assign(pivot=table.argmin(axis=1).astype(np.int32))
-
-    homed = written(rows.mapInPandas(home, "vec_id long, v array<double>, pivot int"))
+    fine = finite(vectors).where("vec_id IS NOT NULL").select("vec_id", whole.alias("v"))
+    # Numbered as written, so that rows that repeat an id stay apart.
+    rows = written(fine.withColumn("row", F.monotonically_increasing_id()))
     is_query = F.pmod("vec_id", F.lit(every)) == 0
-    sizes = {
-        row["pivot"]: (row["n"], row["q"])
-        for row in homed.groupBy("pivot")
-        .agg(F.count("*").alias("n"), F.count_if(is_query).alias("q"))
-        .collect()  # at most PIVOTS rows
-    }
-
-    def blocks(source: DataFrame, which: int, size: int) -> DataFrame:
-        count = F.lit(1)
-        for pivot, pair in sizes.items():
-            count = F.when(F.col("pivot") == pivot, max(1, -(-pair[which] // size))).otherwise(count)
-        dealt = source.withColumn("block", F.pmod(F.xxhash64("vec_id"), count).cast("int"))
-
-        def pack(group: pd.DataFrame) -> pd.DataFrame:
-            data = matrix(group["v"])
-            table = distances(data, shared.value)
-            squares = (data**2).sum(axis=1)
-            return pd.DataFrame(
-                [
-                    {"pivot": group["pivot"].iloc[0], "block": group["block"].iloc[0]}
-                    | packed(group["vec_id"].to_numpy(), data)
-                    | {
-                        "low": table.min(axis=0),
-                        "high": table.max(axis=0),
-                        "most": squares.max(),
-                    }
-                ]
-            )
-
-        return written(
-            dealt.groupBy("pivot", "block").applyInPandas(
-                pack,
-                "pivot int, block int, ids binary, rows binary,"
-                " low array<double>, high array<double>, most double",
-            )
-        )
+    n, n_queries = rows.select(F.count("*"), F.count_if(is_query)).first()
+    if not n_queries:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    # At most PIVOTS vectors.
+    shared = spark.sparkContext.broadcast(choose_pivots(sampled(rows, n, SAMPLE), PIVOTS))
 
-    candidates = blocks(homed, 0, BLOCK_ROWS)
-    queries = blocks(homed.where(is_query), 1, QUERY_ROWS)
-    asked = queries.select(
-        F.col("pivot").alias("q_pivot"),
-        F.col("block").alias("q_block"),
-        F.col("ids").alias("q_ids"),
-        F.col("rows").alias("q_rows"),
-    )
+    @tidy
+    def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                table = distances(matrix(frame["v"]), shared.value)
+                yield frame.assign(distances=list(table), home=table.argmin(axis=1).astype(np.int32))
 
-    def evaluate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                q_ids, q_rows = unpacked(row.q_ids, row.q_rows)
-                ids, data = unpacked(row.ids, row.rows)
-                known = np.frombuffer(row.known, "<i8") if row.known else np.full(len(q_ids), NONE)
-                found = best_in_block(q_ids, q_rows, known, ids, data, shared.value, k)
-                yield pd.DataFrame(
-                    {
-                        "pivot": row.q_pivot,
-                        "block": row.q_block,
-                        "query_id": np.repeat(q_ids, [len(f[0]) for f in found]),
-                        "vec_id": np.concatenate([f[0] for f in found]),
-                        "score": np.concatenate([f[1] for f in found]),
-                    }
-                )
-
-    hits = "pivot int, block int, query_id long, vec_id long, score long"
-    nothing = F.lit(None).cast("binary").alias("known")
-    # First round: the first block of the query's own pivot.
-    first = candidates.where("block = 0").select("pivot", "ids", "rows")
-    opening = asked.join(first, F.col("q_pivot") == F.col("pivot")).select(
-        "q_pivot", "q_block", "q_ids", "q_rows", "ids", "rows", nothing
+    known = written(
+        rows.mapInPandas(measure, "vec_id long, v array<double>, row long, distances array<double>, home int")
     )
-    opened = opening.mapInPandas(evaluate, hits)
-
-    def floors(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        ranked = group.sort_values("score", ascending=False).groupby("query_id")["score"]
-        kth = ranked.nth(k - 1).to_numpy() if len(group) else np.zeros(0)
-        owners = group.sort_values("score", ascending=False)["query_id"]
-        owners = owners[ranked.cumcount() == k - 1].to_numpy()
-        return pd.DataFrame(
-            [
-                {
-                    "q_pivot": key[0],
-                    "q_block": key[1],
-                    "f_ids": owners.astype("<i8").tobytes(),
-                    "f_scores": kth.astype("<i8").tobytes(),
-                }
-            ]
-        )
+    blocks = _blocks(known, BLOCK_ROWS)
+    tiles = _blocks(known.where(is_query), max(QUERY_ROWS, -(-n_queries // TILES)))
+    # At most TILES + 1 rows of a few hundred bytes, whatever the number of queries.
+    summary = [
+        (row["block"], np.array(row["low"]), np.array(row["high"]), row["most"])
+        for row in tiles.select("block", "low", "high", "most").collect()
+    ]
 
-    known = opened.groupBy("pivot", "block").applyInPandas(
-        floors, "q_pivot int, q_block int, f_ids binary, f_scores binary"
+    @tidy
+    def bound(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The largest score that a block and a tile may have, by their ranges of distances."""
+        for frame in frames:
+            out = []
+            for block, low, high, most in frame.itertuples(index=False):
+                for tile, t_low, t_high, t_most in summary:
+                    gap = max(0.0, np.max(low - t_high), np.max(t_low - high))
+                    best = (most + t_most - gap * gap) / 2 + 1e-6 * (1 + most + t_most)
+                    out.append((block, tile, best))
+            yield pd.DataFrame(out, columns=["block", "tile", "bound"])
+
+    pairs = written(
+        blocks.select("block", "low", "high", "most").mapInPandas(bound, "block long, tile long, bound double")
     )
 
-    def with_floor(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                q_ids = np.frombuffer(row.q_ids, "<i8")
-                found = (
-                    dict(
-                        zip(
-                            np.frombuffer(row.f_ids, "<i8").tolist(),
-                            np.frombuffer(row.f_scores, "<i8").tolist(),
-                            strict=True,
-                        )
-                    )
-                    if row.f_ids
-                    else {}
-                )
-                floor = np.array([found.get(q, NONE) for q in q_ids.tolist()], dtype="<i8")
-                out.append(
-                    (row.q_pivot, row.q_block, row.q_ids, row.q_rows, floor.tobytes(), floor.min())
-                )
-            yield pd.DataFrame(
-                out, columns=["q_pivot", "q_block", "q_ids", "q_rows", "known", "floor"]
-            )
-
-    armed = written(
-        asked.join(known, ["q_pivot", "q_block"], "left").mapInPandas(
-            with_floor,
-            "q_pivot int, q_block int, q_ids binary, q_rows binary, known binary, floor long",
+    @tidy
+    def evaluate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                tile, block = Packed(row.a), Packed(row.b)
+                floors = np.full(len(tile.ids), NONE)
+                if row.floors is not None:
+                    given = np.frombuffer(row.floors, "<i8")
+                    floors[: len(given)] = given
+                yield best_in_block(tile, floors, block, k).assign(tile=row.tile)
+
+    def found(met: DataFrame) -> DataFrame:
+        """Hits of pairs ``(block, tile, floors)``.  Tiles travel; blocks are moved once."""
+        side = tiles.select(F.col("block").alias("tile"), F.struct(*_PAYLOAD).alias("a"))
+        sent = met.join(side, "tile").select("tile", "block", "floors", "a")
+        both = sent.join(blocks.select("block", F.struct(*_PAYLOAD).alias("b")), "block")
+        return both.mapInPandas(
+            evaluate, "at long, query_id long, row long, vec_id long, score long, tile long"
         )
-    )
-    # What a pivot's queries have in common: their number of blocks, lowest floor, and ranges.
-    ranges = queries.groupBy("pivot").agg(
-        F.max("most").alias("most"),
-        F.count("*").alias("blocks"),
-        F.array(*(F.min(F.get("low", F.lit(p))) for p in range(len(shared.value)))).alias("low"),
-        F.array(*(F.max(F.get("high", F.lit(p))) for p in range(len(shared.value)))).alias("high"),
-    )
-    groups = [
-        (row["pivot"], row["blocks"], row["floor"], row["most"], row["low"], row["high"])
-        for row in ranges.join(
-            armed.groupBy(F.col("q_pivot").alias("pivot")).agg(F.min("floor").alias("floor")),
-            "pivot",
-        ).collect()  # at most PIVOTS rows
-    ]
 
-    @F.pandas_udf("array<struct<q_pivot int, q_block int>>")
-    def targets(low: pd.Series, high: pd.Series, most: pd.Series) -> pd.Series:
-        out = []
-        for lo, hi, square in zip(low, high, most, strict=True):
-            met = []
-            for pivot, n_blocks, floor, q_most, q_lo, q_hi in groups:
-                gap = max(0.0, np.max(np.asarray(lo) - q_hi), np.max(np.asarray(q_lo) - hi))
-                if (square + q_most - gap * gap) / 2 + 1e-6 * (1 + square + q_most) >= floor:
-                    met += [{"q_pivot": pivot, "q_block": b} for b in range(n_blocks)]
-            out.append(met)
-        return pd.Series(out)
-
-    sent = candidates.select(
-        "ids", "rows", F.explode(targets("low", "high", "most")).alias("to")
-    ).select("ids", "rows", "to.q_pivot", "to.q_block")
-    found = armed.join(sent, ["q_pivot", "q_block"]).mapInPandas(evaluate, hits)
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    none = F.lit(None).cast("binary").alias("floors")
+    first = pairs.groupBy("tile").agg(F.max_by("block", F.struct("bound", "block")).alias("block"))
+    opened = written(found(first.select("block", "tile", none)))
+
+    def floor_of(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        # A tile's hits in one block: at most k and its slices' ties a query.
+        ranked = frame.sort_values("score", ascending=False).groupby("at")["score"].nth(k - 1)
+        at = frame["at"][ranked.index].to_numpy()
+        floors = np.full(int(frame["at"].max()) + 1, NONE, dtype="<i8")
+        floors[at] = ranked.to_numpy()
+        return pd.DataFrame([{"tile": key[0], "floors": floors.tobytes(), "least": floors.min(), "held": len(floors)}])
+
+    floors = opened.groupBy("tile").applyInPandas(floor_of, "tile long, floors binary, least long, held int")
+    sizes = tiles.select(F.col("block").alias("tile"), (F.octet_length("rows") / 8).alias("n"))
+    least = F.when(F.col("held") == F.col("n"), F.col("least")).otherwise(F.lit(NONE))
+    armed = written(sizes.join(floors, "tile", "left").select("tile", "floors", least.alias("least")))
+    rest = pairs.join(first.withColumnRenamed("block", "opening"), "tile").where("block != opening")
+    met = rest.join(armed, "tile").where(F.col("bound") >= F.col("least"))
+    hits = opened.unionByName(found(met.select("block", "tile", "floors")))
+    order = W.partitionBy("tile", "at").orderBy(F.desc("score"), "vec_id", "row")
+    ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -125,16 +125,15 @@ ORACLES: dict[str, str] = {
             SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
         ), fine AS (
-            SELECT vec_id, min(list_transform(v, lambda x: floor(64 * x))) AS v FROM cast_rows
-            WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-            GROUP BY vec_id
+            SELECT row_number() OVER () AS row_no, vec_id, list_transform(v, lambda x: floor(64 * x)) AS v
+            FROM cast_rows WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
-            SELECT q.vec_id AS query_id, c.vec_id,
+            SELECT q.row_no AS query, q.vec_id AS query_id, c.vec_id,
                 list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
-            FROM fine q JOIN fine c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+            FROM fine q JOIN fine c ON q.row_no <> c.row_no WHERE q.vec_id % 20 = 0
         ), ranked AS (
             SELECT query_id, row_number() OVER (
-                PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+                PARTITION BY query ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
             FROM scored
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
@@ -146,12 +145,12 @@ ORACLES: dict[str, str] = {
             FROM embeddings
             WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
         ), fine AS (
-            SELECT row_number() OVER () AS at, vec_id, label, list_transform(v, lambda x: floor(256 * x)) AS v
+            SELECT row_number() OVER () AS row_no, vec_id, label, list_transform(v, lambda x: floor(256 * x)) AS v
             FROM cast_rows WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
-            SELECT a.at AS anchor, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+            SELECT a.row_no AS anchor, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
                 list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
-            FROM fine a JOIN fine c ON a.at <> c.at WHERE a.vec_id % 50 = 0
+            FROM fine a JOIN fine c ON a.row_no <> c.row_no WHERE a.vec_id % 50 = 0
         ), positives AS (
             SELECT anchor, anchor_id, vec_id AS positive_id, score AS positive_score,
                 row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place

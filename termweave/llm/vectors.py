@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from termweave.llm.common import fraction
 
-BLOCK = "ids binary, rows binary"
-
-
 def finite(vectors: DataFrame, *kept: str) -> DataFrame:
     """``(vec_id, v)`` and the columns ``kept`` of ``(vec_id, embedding, ...)``, with double components.
 
@@ -35,38 +32,14 @@ def finite(vectors: DataFrame, *kept: str) -> DataFrame:
     return rows.where(F.size("v") == common[0]["n"]) if common else rows
 
 
-def usable(vectors: DataFrame, allow_zero: bool) -> DataFrame:
-    """``(vec_id, v)`` of ``(vec_id, embedding)`` that can take part, with double components.
-
-    Out stay null ids, null vectors, vectors with a null or non-finite component, empty ones, all-zero
-    ones unless allowed, and those of another length than most have (of several such lengths,
-    the smallest counts).  Of rows that repeat an id one counts, with the smallest vector.
-    """
-    v = F.transform("embedding", lambda x: x.cast("double"))
-    big = F.lit(float("inf"))
-    fine = F.coalesce(
-        F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < big)), F.lit(False)
-    )
-    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), v.alias("v"))
-    rows = rows.where("vec_id IS NOT NULL AND v IS NOT NULL").where(fine & (F.size("v") > 0))
-    if not allow_zero:
-        rows = rows.where(F.exists("v", lambda x: x != 0))
-    common = (
-        rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    )
-    if common:
-        rows = rows.where(F.size("v") == common[0]["n"])
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
-
-
 def sampled(rows: DataFrame, n_rows: int, size: int) -> np.ndarray:
-    """About ``size`` vectors, picked by a hash of their ids; at most twice as many."""
+    """About ``size`` vectors of numbered rows, picked by a hash of their number; at most twice as many."""
     if not n_rows:
         return np.zeros((0, 0))
-    picked = rows.where(fraction("vec_id") < size / n_rows).orderBy("vec_id").limit(2 * size)
+    picked = rows.where(fraction("row") < size / n_rows).orderBy("vec_id", "row").limit(2 * size)
     got = [row["v"] for row in picked.select("v").collect()]
     if not got:
-        got = [row["v"] for row in rows.orderBy("vec_id").limit(size).select("v").collect()]
+        got = [row["v"] for row in rows.orderBy("vec_id", "row").limit(size).select("v").collect()]
     return np.array(got, dtype=float)
 
 
