@@ -111,6 +111,13 @@ def gapless_ranks(
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or one made from it that is no column of ``df``."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def if_small(keys: DataFrame, rows: int = 500_000) -> DataFrame:
     """``keys``, with a hint to broadcast if they are few; else Spark shuffles both sides.
 

@@ -5,8 +5,8 @@ word) and over a lexicon of words that the training sample shows in one language
 learned with the rest. Forward-backward gives each word's language probabilities given its
 whole text; a document's language is the one with most probability over its words.
 
-The fit sees a bounded sample: about ``DOCS_PER_LANGUAGE`` rows a language, picked by a hash of the
-id, and of each a window of ``WINDOW`` words that starts at a place the hash picks.  Training
+The fit sees a bounded sample: about ``DOCS_PER_LANGUAGE`` rows a language, at most twice as many, picked by a hash of
+id and text, and of each a window of ``WINDOW`` words that starts at a place the hash picks.  Training
 sequences are pieces of such windows, and go on in another language at the rate ``SWITCHES``, so that
 transitions between languages are seen.  Every text is labelled whole.
 
@@ -14,8 +14,9 @@ Texts of a batch are joined to one chain; where a text begins, the transition fo
 before.  The chain is cut into about sqrt(n) blocks, whose transfer matrices are multiplied up
 side by side, so the work is that of the plain recursion, in long vectors.
 
-Null texts and texts without letters are ``und`` with score 0.  Rows that repeat are labelled each.
-Without any labelled row all texts are ``und``.
+The ``LANGUAGES`` most frequent languages are learned.  Null texts and texts without letters are ``und`` with score 0.  Rows that
+repeat are labelled each.  Of languages that fit alike the first by name is taken.
+Without any labelled row all texts are ``und``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,9 +32,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termweave.llm.common import fraction, tidy
+from termweave.llm.common import fraction, tidy, unused
 
 DOCS_PER_LANGUAGE = 500
+# The most frequent languages, which are learned.
 LANGUAGES = 256
 WINDOW = 150
 SWITCHES = 0.15
@@ -46,8 +48,6 @@ LEXICON_SHARE = 0.8
 KEPT_WORDS = 150_000
 KEPT_PIECES = 200_000
 TOGETHER = 1 << 21
-# Words fit no learned language if the likeliest is at less than so many times an even spread over all.
-ABOVE_CHANCE = 1.2
 UNDETERMINED = "und"
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -74,6 +74,11 @@ def features(word: str) -> list[int]:
     return [zlib.crc32(name.encode()) & mask for name in names]
 
 
+def trigrams(word: str) -> list[str]:
+    framed = f"^{word}$"
+    return [framed[at : at + 3] for at in range(max(1, len(framed) - 2))]
+
+
 @dataclass(frozen=True)
 class Model:
     languages: tuple[str, ...]
@@ -81,6 +86,12 @@ class Model:
     transitions: np.ndarray
     start: np.ndarray
     lexicon: dict[str, int]
+    trigrams: frozenset[str] = frozenset()  # of the sample's words
+
+    def familiarity(self, words: list[str]) -> np.ndarray:
+        """The share of each word's trigrams that the sample has."""
+        grams = [trigrams(word) for word in words]
+        return np.array([sum(g in self.trigrams for g in own) / len(own) for own in grams])
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """Log-potentials of words, which have letters."""
@@ -274,22 +285,26 @@ def fit(texts: list[tuple[str, list[str]]], epochs: int = 4, batch: int = 128) -
                 v *= 0.99
                 v += 0.01 * grad**2
                 param -= rate * (m / (1 - 0.9**updates)) / (np.sqrt(v / (1 - 0.99**updates)) + 1e-8)
-    return Model(languages, w, t, s, lexicon)
+    seen = frozenset(gram for word in vocabulary for gram in trigrams(word))
+    return Model(languages, w, t, s, lexicon, seen)
 
 
 def train(docs: DataFrame) -> Model | None:
     """Fit on a bounded sample of ``(doc_id, text, lang)``, without held-out rows."""
     usable = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     sizes = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    share = F.lit(0.0)
-    for row in sizes.collect():
+    counts = sizes.collect()
+    share, by = F.lit(0.0), ("doc_id", F.xxhash64("text"))
+    for row in counts:
         share = F.when(
             F.col("lang") == row["lang"], F.lit(DOCS_PER_LANGUAGE / row["count"])
         ).otherwise(share)
     words = F.split(F.trim("text"), r"\s+")
     begin = F.floor(fraction("doc_id", F.lit(1)) * F.greatest(F.lit(1), F.size("words") - WINDOW))
     sample = (
-        usable.where(fraction("doc_id") < share)
+        usable.where(fraction(*by) < share)
+        .orderBy(fraction(*by))
+        .limit(2 * DOCS_PER_LANGUAGE * max(1, len(counts)))  # ids and texts that repeat share their number
         .select("doc_id", "lang", words.alias("words"))
         .where("words IS NOT NULL")
         .select("lang", F.slice("words", (begin + 1).cast("int"), F.lit(WINDOW)).alias("words"))
@@ -306,7 +321,7 @@ class Labeller:
         self.model = model
         k = len(model.languages)
         self.rows: dict[str, int] = {}
-        self.table = np.zeros((1024, k))
+        self.table = np.zeros((1024, k + 1))  # emissions, and familiarity
         self.words: dict[str, int] = {"": 0}
         self.used = 1
 
@@ -315,7 +330,9 @@ class Labeller:
             return
         while self.used + len(words) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[self.used : self.used + len(words)] = self.model.emissions(words)
+        place = slice(self.used, self.used + len(words))
+        self.table[place, :-1] = self.model.emissions(words)
+        self.table[place, -1] = self.model.familiarity(words)
         self.words.update(zip(words, range(self.used, self.used + len(words)), strict=True))
         self.used += len(words)
 
@@ -334,14 +351,19 @@ class Labeller:
 
     def label(self, texts: list[str | None]) -> list[np.ndarray]:
         """Language probabilities of the words with letters of each text."""
+        return self.judge(texts)[0]
+
+    def judge(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[float]]:
+        """As ``label``, and how familiar the words of each text are on average, from 0 to 1."""
         rows = self.lookup(texts)
+        familiar = [float(self.table[own, -1].mean()) if len(own) else 0.0 for own in rows]
         sizes = np.array([len(r) for r in rows])
         ends = np.cumsum(sizes)
         flat = np.concatenate(rows) if len(rows) else np.zeros(0, dtype=np.int64)
         begins = np.zeros(len(flat), dtype=bool)
         begins[(ends - sizes)[sizes > 0]] = True
-        found = marginals(self.table[flat], begins, self.model.transitions, self.model.start)
-        return np.split(found, ends[:-1]) if len(rows) else []
+        found = marginals(self.table[flat, :-1], begins, self.model.transitions, self.model.start)
+        return (np.split(found, ends[:-1]) if len(rows) else []), familiar
 
 
 def _slices(texts: pd.Series) -> Iterator[list[str | None]]:
@@ -366,11 +388,11 @@ def _verdict(model: Model, probabilities: np.ndarray) -> tuple[str, float]:
 
 
 def languages(docs: DataFrame, model: Model | None):
-    """A function of a text column: ``struct(lang_pred, score)``."""
+    """A function of a text column: ``struct(lang_pred, score, familiar)``."""
     # Bounded: 2 ** BITS rows of weights and the words of the sample.
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, familiar double")
     @tidy
     def detect(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shared.value
@@ -378,12 +400,13 @@ def languages(docs: DataFrame, model: Model | None):
         for texts in batches:
             found = []
             for held in _slices(texts):
-                found += (
-                    [_verdict(model, p) for p in labeller.label(held)]
-                    if labeller
-                    else [(UNDETERMINED, 0.0)] * len(held)
-                )
-            yield pd.DataFrame(found, columns=["lang_pred", "score"])
+                if labeller:
+                    labelled, familiar = labeller.judge(held)
+                    found += [(*_verdict(model, p), f) for p, f in zip(labelled, familiar, strict=True)]
+                else:  # all with letters are as familiar as can be
+                    worded = (any(map(letters, (text or "").split())) for text in held)
+                    found += [(UNDETERMINED, 0.0, float(fits)) for fits in worded]
+            yield pd.DataFrame(found, columns=["lang_pred", "score", "familiar"])
 
     return detect
 
@@ -397,39 +420,17 @@ def detect_documents(docs: DataFrame) -> DataFrame:
     )
 
 
-def fitting(docs: DataFrame, model: Model | None, least: float):
-    """A function of a text column: whether it has words, and these fit a learned language.
-
-    The score is each word's probability of its own likeliest language, on average, so mixing languages does
-    not lower it.  Of many languages none need have ``least``; words that fit none are near ``1 / k`` for each.
-    Without a model any word with letters will do.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("boolean")
-    @tidy
-    def fits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = shared.value
-        labeller = None if model is None else Labeller(model)
-        for texts in batches:
-            found = []
-            for held in _slices(texts):
-                if labeller:
-                    enough = min(least, ABOVE_CHANCE / len(model.languages))
-                    found += [
-                        len(p) > 0 and bool(p.max(axis=1).mean() >= enough)
-                        for p in labeller.label(held)
-                    ]
-                else:
-                    found += [any(map(letters, (text or "").split())) for text in held]
-            yield pd.Series(found, dtype="bool")
-
-    return fits
-
-
 def keep_determined(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` with words, of which each fits a learned language by ``least`` on average.
+    """The rows of ``docs`` whose words are familiar, by ``least`` of their trigrams on average, with all their columns.
 
-    Texts in several languages stay, and all with letters where no language was learned.
+    Texts in several learned languages stay, and all with letters where no language was learned; texts in other scripts or
+    languages unlike all learned ones, and texts without letters, go.  Where ``lang`` is null it becomes the text's
+    language; all else is as it was.  Rows that repeat are judged each.
     """
-    return docs.where(fitting(docs, train(docs), least)("text"))
+    found = unused(docs, "_found")
+    # Not to be run a second time for the filter.
+    detect = languages(docs, train(docs)).asNondeterministic()
+    judged = docs.withColumn(found, detect("text"))
+    kept = judged.where(F.col(found)["familiar"] >= least)
+    guess = F.when(F.col(found)["lang_pred"] != UNDETERMINED, F.col(found)["lang_pred"])
+    return kept.withColumn("lang", F.coalesce("lang", guess)).drop(found)

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from termweave.llm.common import if_small, tidy, written
+from termweave.llm.common import if_small, tidy, unused, written
 from termweave.operators.skew import balanced_join, lookup_join
 
 SHINGLE = 5
@@ -45,6 +45,9 @@ BAND = 4
 DEVIATIONS = 4.5
 # With so many members outside its largest class, a bucket's pairs of classes are all compared.
 FEW_OUTSIDE = 16
+# Shingles of more texts than this, or than one in so many of all shingles, come last in prefixes.
+SELDOM = 32
+COMMON = 200_000
 KEPT_WORDS = 100_000
 TOGETHER = 1 << 21
 
@@ -302,10 +305,10 @@ def _across(members: DataFrame) -> DataFrame:
 def _unmet(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` of different classes, with all that reach the threshold, of ``(rep, class)``.
 
-    Sets above the threshold share one of their rarest shingles: as many of each set are its prefix as it
-    may have beyond the share that must be common.  The order of shingles is global: those of one class
-    only come first, as no pair shares them, then the others by their number of texts.
-    Pairs meet at the first shingle they share, where the places left bound what else is common.
+    Sets above the threshold share one of their first shingles in any order that is the same for all: as many of each set are
+    its prefix as it may have beyond the share that must be common.  Shingles of many texts come last, by
+    their number; the others, each of which few texts have, come by their hash.
+    Pairs meet at the shingles of their prefixes, where the places left bound what else is common.
     """
 
     @tidy
@@ -322,18 +325,39 @@ def _unmet(members: DataFrame, texts: DataFrame) -> DataFrame:
     # Rows that are equal in id and text stand once here.
     sets = sets.mapInPandas(listed, "rep binary, class binary, shingles array<long>")
     sets = written(sets.dropDuplicates(["rep"]))
-    rows = sets.select("rep", "class", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
-    shared = written(
-        rows.groupBy("shingle")
-        .agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
-        .where("low < high")
-        .select("shingle", "n")
+    total = sets.agg(F.sum(F.size("shingles"))).first()[0] or 0
+    common = max(SELDOM, total // COMMON)
+    counts = sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
+    # At most COMMON rows, as each stands for so large a part of all.
+    often = counts.where(F.col("n") > common).orderBy("shingle").collect()
+    known = members.sparkSession.sparkContext.broadcast(
+        (np.array([r["shingle"] for r in often], dtype=np.int64), np.array([r["n"] for r in often], dtype=np.int64))
+    )
+
+    @tidy
+    def first_ones(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen, times = known.value
+        for batch in batches:
+            for rep, label, found in zip(batch["rep"], batch["class"], batch["shingles"], strict=True):
+                n = np.zeros(len(found), dtype=np.int64)
+                if len(seen):
+                    at = np.minimum(np.searchsorted(seen, found), len(seen) - 1)
+                    n[seen[at] == found] = times[at[seen[at] == found]]
+                length = len(found) - math.ceil(THRESHOLD * len(found) - 1e-9) + 1
+                prefix = found[np.lexsort((found, n))[:length]]
+                yield pd.DataFrame(
+                    {
+                        "rep": [rep] * len(prefix),
+                        "class": [label] * len(prefix),
+                        "size": len(found),
+                        "place": np.arange(1, len(prefix) + 1),
+                        "shingle": prefix,
+                    }
+                )
+
+    prefix = written(
+        sets.mapInPandas(first_ones, "rep binary, class binary, size long, place long, shingle long")
     )
-    own = W.partitionBy("rep")
-    place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "shingle"))
-    prefix = lookup_join(rows, shared, "shingle", "n").withColumn("place", place)
-    beyond = F.col("size") - F.ceil(F.lit(THRESHOLD) * F.col("size") - F.lit(1e-9))
-    prefix = written(prefix.where(F.col("place") <= beyond + 1).drop("n"))
     # The largest class of a shingle meets the others, not itself, so near copies make no square.
     largest = (
         prefix.groupBy("shingle", "class")
@@ -472,13 +496,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links of similar texts lead to.
     """
     classes = written(_classes(docs))
-    class_ids = classes.groupBy("class").agg(F.min("doc_id").alias("class_id"))
-    copies = classes.groupBy("content").agg(F.min("doc_id").alias("copy_of"))
-    return (
-        classes.join(class_ids, "class")
-        .join(copies, "content")
-        .select("doc_id", "class_id", "copy_of")
-    )
+    # A class, or the copies of a text, may be any share of the rows.
+    class_ids = classes.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n"))
+    copies = classes.groupBy("content").agg(F.min("doc_id").alias("copy_of"), F.count("*").alias("n"))
+    named = written(lookup_join(classes, written(class_ids), "class", "n").drop("n"))
+    return lookup_join(named, written(copies), "content", "n").select("doc_id", "class_id", "copy_of")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
@@ -487,24 +509,27 @@ def keep_first(docs: DataFrame) -> DataFrame:
     Rows with equal id and text are one document, of which one row stays.
     """
     classes = written(_classes(docs.select("doc_id", "text")))
-    heads = classes.groupBy("class").agg(F.min(F.struct("doc_id", "content")).alias("head"))
-    rows = classes.groupBy("class", "doc_id", "content").agg(F.count("*").alias("n"))
-    judged = rows.join(heads, "class").select(
+    heads = classes.groupBy("class").agg(
+        F.min(F.struct("doc_id", "content")).alias("head"), F.count("*").alias("members")
+    )
+    rows = written(classes.groupBy("class", "doc_id", "content").agg(F.count("*").alias("n")))
+    id_name, content_name = unused(docs, "_id"), unused(docs, "_content")
+    judged = lookup_join(rows, written(heads), "class", "members").select(
         F.struct("doc_id", "content").eqNullSafe(F.col("head")).alias("stays"),
-        F.col("doc_id").alias("_id"),
-        F.col("content").alias("_content"),
+        F.col("doc_id").alias(id_name),
+        F.col("content").alias(content_name),
         "n",
     )
     judged = written(judged.where("NOT stays OR n > 1"))
-    hashed = docs.withColumn("_content", _content())
+    hashed = docs.withColumn(content_name, _content())
 
     def same(other: DataFrame) -> Column:
-        return (hashed["_content"] == other["_content"]) & hashed["doc_id"].eqNullSafe(other["_id"])
+        return (hashed[content_name] == other[content_name]) & hashed["doc_id"].eqNullSafe(other[id_name])
 
-    gone = if_small(judged.select("_id", "_content"))
+    gone = if_small(judged.select(id_name, content_name))
     kept = hashed.join(gone, same(gone), "left_anti")
-    repeated = judged.where("stays").select("_id", "_content")
+    repeated = judged.where("stays").select(id_name, content_name)
     if not repeated.isEmpty():
         again = hashed.join(repeated, same(repeated), "left_semi")
-        kept = kept.unionByName(again.dropDuplicates(["doc_id", "_content"]))
-    return kept.drop("_content")
+        kept = kept.unionByName(again.dropDuplicates(["doc_id", content_name]))
+    return kept.drop(content_name)

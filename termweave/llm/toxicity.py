@@ -121,8 +121,11 @@ def _border(f: np.ndarray, positive: np.ndarray, prior: float) -> float:
 
 
 def _sampled(docs: DataFrame, ids: DataFrame, positive: bool) -> DataFrame:
+    # An id may repeat; more than twice the rows asked for are left out.
+    most = 2 * (POSITIVES if positive else UNLABELLED)
     picked = docs.join(F.broadcast(ids.distinct()), "doc_id", "left_semi")
-    return picked.select("text", F.lit(positive).alias("positive"))
+    ordered = picked.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(most)
+    return ordered.select("text", F.lit(positive).alias("positive"))
 
 
 def _constant(bias: float) -> Model:

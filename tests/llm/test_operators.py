@@ -14,6 +14,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from termweave.llm import (
@@ -221,9 +222,17 @@ def test_mixed_languages_and_unlabelled_texts_stay(spark, docs):
         parts = [_language(rng, letters, 30) for letters in list(alphabets.values())[:n]]
         rows.append((at, " ".join(parts), None, "s", None))
     rows.append((900, "12 !!", None, "s", None))
-    mixed = spark.createDataFrame(rows, DOCS)
-    kept = sorted(r.doc_id for r in crf.keep_determined(mixed).collect())
-    assert kept == [*range(200), 500, 501]
+    # No learned language: another script, and letters that no learned word has side by side.
+    rows.append((901, "Все люди рождаются свободными и равными в своём достоинстве", None, "s", None))
+    rows.append((902, _language(rng, "afkpu", 40), "zz", "s", None))
+    rows.append((903, _language(rng, "abcde", 40), None, "s", None))
+    mixed = spark.createDataFrame([(*row, "x") for row in rows], f"{DOCS}, _found string")
+    # Rows of one text are no language of their own.
+    got = crf.keep_determined(mixed.where("doc_id <> 902").unionByName(mixed.where("doc_id = 902").withColumn("lang", F.lit(None).cast("string"))))
+    assert got.columns == mixed.columns
+    kept = {r.doc_id: r.lang for r in got.collect()}
+    assert sorted(kept) == [*range(200), 500, 501, 903]
+    assert kept[903] == "aa" and kept[1] == "bb"
     unlabelled = docs.drop("lang").selectExpr("*", "CAST(null AS string) AS lang")
     kept = crf.keep_determined(unlabelled).collect()
     expected = [r for r in unlabelled.collect() if any(map(str.isalpha, r.text or ""))]
