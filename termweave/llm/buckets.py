@@ -1,5 +1,7 @@
 """Packing into optimal length buckets.
 
+A text's length is its number of token ids by a given tokenizer, or of words without one.
+
 The histogram of all lengths is global; dynamic programming over it chooses the bucket
 boundaries that minimise the padding of the whole corpus.  Inside each bucket, rows form batches
 that hold at most ``budget`` tokens when each row is padded to the bucket's boundary.
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termweave.llm.common import gapless_ranks, written
+from termweave.llm.dac import token_counts
 
 BUCKETS = 16
 BUDGET = 65_536
@@ -84,11 +87,12 @@ def pack(
     buckets: int = BUCKETS,
     budget: int = BUDGET,
     longest: int = LONGEST,
+    row: str | None = None,
 ) -> DataFrame:
     """``rows`` with ``bucket``, ``pad_to``, ``batch``, ``slot`` and ``padding``.
 
     ``batch`` counts from 0 inside the bucket and ``slot`` inside the batch.  ``rows`` should
-    be narrow and cheap to read again.
+    be narrow and cheap to read again.  ``row`` names a column that numbers the rows, if there may be many equal ones.
     """
     histogram = (
         rows.groupBy(F.least(F.col(length), F.lit(longest + 1)).alias("length")).count().collect()
@@ -106,7 +110,7 @@ def pack(
         "pad_to", pad_to.cast("bigint")
     )
     ranked = gapless_ranks(
-        bucketed, "bucket", [*order, length], sum(count for _, count in bins)
+        bucketed, "bucket", [*order, length], sum(count for _, count in bins), row=row
     )
     capacity = F.when(F.col("bucket") == len(ends), F.lit(1)).otherwise(
         F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(F.lit(1), F.col("pad_to"))))
@@ -119,8 +123,12 @@ def pack(
     )
 
 
-def pack_documents(docs: DataFrame) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_json: str | None = None) -> DataFrame:
     """``(doc_id, n_tokens, bucket, pad_to, padding, batch, slot)`` of ``(doc_id, text)``."""
-    lengths = written(docs.select("doc_id", word_count(F.col("text")).alias("n_tokens")))
-    packed = pack(lengths)
+    if tokenizer_json is None:
+        lengths = docs.select("doc_id", word_count(F.col("text")).alias("n_tokens"))
+    else:
+        lengths = token_counts(docs, tokenizer_json)
+    numbered = written(lengths.withColumn("_row", F.monotonically_increasing_id()))
+    packed = pack(numbered, row="_row")
     return packed.select("doc_id", "n_tokens", "bucket", "pad_to", "padding", "batch", "slot")

@@ -87,23 +87,40 @@ def fraction(*key: Column | str) -> Column:
 
 
 def gapless_ranks(
-    rows: DataFrame, group: str, order: list[str], n_rows: int, cell_rows: int = 20_000
+    rows: DataFrame,
+    group: str,
+    order: list[str],
+    n_rows: int,
+    cell_rows: int = 20_000,
+    row: str | None = None,
 ) -> DataFrame:
     """``rows`` with ``rank``, which counts the rows of each group from 0 without a gap.
 
     A group may hold all rows: it is dealt by a hash of ``order`` to cells, numbered inside
     each cell, and shifted by the sizes of the cells before.  Both a cell and the list of
-    cells of a group stay near the square root of very large inputs.
+    cells of a group stay near the square root of very large inputs.  Rows that agree in ``order`` share a cell,
+    unless ``row`` names a column of numbers that stay with their rows: then more than a cell's worth of such rows are spread.
     """
     cells = max(1, min(100_000, n_rows // cell_rows))
-    dealt = rows.withColumn("_cell", F.pmod(F.xxhash64(*order), F.lit(cells)))
+    digest = F.xxhash64(*order)
+    cell = F.pmod(digest, F.lit(cells))
+    dealt = rows
+    if row is not None:
+        counts = rows.groupBy(digest.alias("_digest")).agg(F.count("*").alias("_same"))
+        # At most one in cell_rows of the rows is a key here.
+        many = counts.where(F.col("_same") > cell_rows)
+        dealt = rows.withColumn("_digest", digest).join(F.broadcast(many), "_digest", "left")
+        parts = F.coalesce(F.ceil(F.col("_same") / cell_rows), F.lit(1))
+        cell = F.pmod(F.col("_digest") + F.pmod(F.col(row), parts), F.lit(cells))
+    dealt = dealt.select(*rows.columns, cell.alias("_cell"))
     earlier = W.partitionBy(group).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
     before = (
         dealt.groupBy(group, "_cell")
         .agg(F.count("*").alias("_n"))
         .select(group, "_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
-    inside = F.row_number().over(W.partitionBy(group, "_cell").orderBy(*order)).cast("bigint")
+    within = [*order, row] if row is not None else order
+    inside = F.row_number().over(W.partitionBy(group, "_cell").orderBy(*within)).cast("bigint")
     return (
         dealt.join(before, [group, "_cell"])
         .withColumn("rank", F.col("_before") + inside - 1)

@@ -279,10 +279,12 @@ def write_ids(
         if doc_ids:
             yield segment()
 
-    order = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    # Any number of rows may be equal in id and text; their number in the input tells them apart.
+    ties = F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row")
     ranged = (
-        order.repartitionByRange("doc_id", "tie")
-        .sortWithinPartitions("doc_id", "tie")
+        docs.select("doc_id", "text", *ties)
+        .repartitionByRange("doc_id", "tie", "row")
+        .sortWithinPartitions("doc_id", "tie", "row")
         .select("doc_id", "text", F.spark_partition_id().alias("part"))
     )
     ranged.mapInPandas(encoded, SEGMENTS).write.parquet(path)
@@ -329,6 +331,23 @@ def read_ids(segments: DataFrame) -> DataFrame:
     return placed.mapInPandas(decoded, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def token_counts(docs: DataFrame, tokenizer_json: str) -> DataFrame:
+    """``(doc_id, n_tokens)`` of ``(doc_id, text)``, without end ids; 0 for null and empty texts."""
+    # One file of a public tokenizer, a few MB whatever the data.
+    model = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
+
+    @tidy
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(model.value)
+        for batch in batches:
+            for ids, texts in _slices(batch):
+                _, counts = encoder.gather(texts)
+                yield pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "n_tokens": counts})
+
+    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return narrow.mapInPandas(counted, "doc_id long, n_tokens long")
+
+
 def encode_documents(docs: DataFrame, tokenizer_json: str) -> DataFrame:
     """Write the ids of ``(doc_id, text)`` to the shared folder and report what the files hold."""
     spark = docs.sparkSession

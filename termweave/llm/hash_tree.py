@@ -109,8 +109,9 @@ def shard_documents(docs: DataFrame, layout: Tree, grown: Tree) -> DataFrame:
         F.lit("key").alias("law"),
     )
     placed = place(place(narrow, "doc_id", layout), "doc_id", grown, "grown_shard")
-    placed = written(placed)
-    ranked = gapless_ranks(placed, "shard", ["doc_id", "size", "text_crc32"], placed.count())
+    placed = written(placed.withColumn("_row", F.monotonically_increasing_id()))
+    order = ["doc_id", "size", "text_crc32"]
+    ranked = gapless_ranks(placed, "shard", order, placed.count(), row="_row")
     return ranked.select(
         "doc_id", "size", "text_crc32", "law", "shard", F.col("rank").alias("slot"), "grown_shard"
     )

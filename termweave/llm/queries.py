@@ -59,7 +59,7 @@ def op5_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_optimal_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return buckets.pack_documents(table(spark, sf_dir, "documents"))
+    return buckets.pack_documents(table(spark, sf_dir, "documents"), tokenizer_json())
 
 
 def op7_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:

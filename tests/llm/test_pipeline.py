@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as contract
 import corpus_pipeline
 from termweave.llm import buckets, crf, probminhash, toxicity
-from termweave.llm.queries import ORACLES, QUERIES
+from termweave.llm.queries import ORACLES, QUERIES, tokenizer_json
 
 TABLES = Path("/root/testdata/sf0.001")
 
@@ -54,17 +54,17 @@ def test_stages_in_order(spark):
     for step in steps[1:-1]:
         assert step.columns == docs.columns
     assert {r.doc_id for r in steps[1].collect()} == clean
-    speaking = {r.doc_id for r in crf.detect_documents(steps[1]).collect() if r.score >= 0.3}
-    assert {r.doc_id for r in steps[2].collect()} == speaking
-    assert not {10_001, 10_002, 10_003} & speaking
+    speaking = {r.doc_id for r in crf.keep_determined(steps[1]).collect()}
+    assert {r.doc_id for r in steps[2].collect()} == speaking == clean - {10_001, 10_002, 10_003}
     classes = {r.doc_id: r.class_id for r in probminhash.near_duplicates(steps[2]).collect()}
     kept = steps[3].collect()
     assert sorted(r.doc_id for r in kept) == sorted(set(classes.values()))
-    assert all(row == rows[row.doc_id] for row in kept)
+    assert all(row.text == rows[row.doc_id].text for row in kept)
+    assert all(row.lang == rows[row.doc_id].lang or rows[row.doc_id].lang is None for row in kept)
     packed = steps[4].collect()
     assert sorted(r.doc_id for r in packed) == sorted(r.doc_id for r in kept)
     assert {tuple(r) for r in packed} == {
-        tuple(r) for r in buckets.pack_documents(steps[3]).collect()
+        tuple(r) for r in buckets.pack_documents(steps[3], tokenizer_json()).collect()
     }
 
 
