@@ -6,26 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 from termweave.llm import buckets, crf, probminhash, toxicity
 from termweave.llm.common import table, written
+from termweave.llm.queries import tokenizer_json
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier of toxic text does not reject."""
+    """Documents that the classifier of toxic text does not reject; null and empty texts stay, repeated rows are judged each."""
     return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with words in languages that were learned, one or several; all with letters if none was."""
+    """Documents in languages that were learned, one or several; all with letters if none was.
+
+    Texts in other scripts, and null, empty and other texts without letters, go.  A null ``lang`` becomes the text's language.
+    """
     return crf.keep_determined(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each class of near copies."""
+    """The first document of each class of near copies; of rows equal in id and text one stays, null texts are one text."""
     return probminhash.keep_first(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's place in a batch of its length bucket."""
-    return buckets.pack_documents(docs)
+    """Each document's place in a batch of its length bucket, by its number of tokens; a row for each row."""
+    return buckets.pack_documents(docs, tokenizer_json())
 
 
 STAGES = [
@@ -35,7 +39,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-# Fitted classifiers and hashed signatures are not SQL; a test has the brute-force version.
+# Fitted classifiers and hashed signatures are not SQL; a test compares ``run`` with all pairs in plain Python.
 ORACLE_SQL = None
 
 
