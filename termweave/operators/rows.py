@@ -9,6 +9,15 @@ from pyspark.sql import functions as F
 from termweave.runtime import stored
 
 
+def computed_once(expression: Column, name: str) -> Column:
+    """``expression`` as a column that filters on it read, and do not compute again.
+
+    The optimizer moves a filter below a projection, and below an aggregate, by repeating the expressions of its columns there.
+    It does not move one below a generator.
+    """
+    return F.explode(F.array(expression)).alias(name)
+
+
 def unnest(rows: DataFrame, array: str, item: str, position: str | None = None) -> DataFrame:
     """Replace ``array`` by its elements, and their 0-based positions if a name is given.
 

@@ -181,52 +181,47 @@ def join_records(records: DataFrame, threshold: float) -> DataFrame:
     """``set_similarity_join`` of both sides in one table ``(side, id, tokens)``."""
     content = F.concat("side", _digest(F.col("tokens"))).alias("content")
     records = stored(records.where(F.size("tokens") > 0).select("side", "id", "tokens", content))
-    # One record of each content, found without the token arrays.
-    firsts = stored(
-        records.groupBy("side", "content").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-    )
-    order = token_order(records)
-    distinct_sets = records.select("side", "id", "tokens").join(
-        firsts.select("side", "id", "copies"), ["side", "id"]
-    )
-    sets = stored(canonical_order(distinct_sets, order), **SORTED_NUMBERS)
+    members = _copies(records)
+    # One record of each content: the others are left out by their ids, so token arrays stay where they are.
+    others = members.where("id != first_id").select("side", "id")
+    distinct_sets = records.drop("content").join(others, ["side", "id"], "left_anti")
+    sets = stored(canonical_order(distinct_sets, token_order(records)), **SORTED_NUMBERS)
     pairs = stored(candidates(prefixes(sets, threshold), threshold, positional=True))
 
-    def known(side: str, *columns: Column) -> DataFrame:
-        return sets.where(F.col("side") == side).select(F.col("id").alias(f"{side}id"), *columns)
+    def known(side: str, **columns: Column) -> DataFrame:
+        named = (column.alias(f"{side}{name}") for name, column in columns.items())
+        return sets.where(F.col("side") == side).select(F.col("id").alias(f"{side}id"), *named)
 
-    def of_both(pairs: DataFrame, *columns: tuple[str, Column]) -> DataFrame:
-        """Columns of both sets.  Each side is joined to the bare pairs, and the two meet on a key that is unique."""
-        r, s = (
-            balanced_join(pairs, known(side, *(c.alias(f"{side}{name}") for name, c in columns)), [f"{side}id"])
-            for side in ("r", "s")
-        )
-        return r.join(s, ["rid", "sid"])
+    def marks(side: str) -> DataFrame:
+        return known(side, size=F.size("tokens"), bitmap=F.col("bitmap"))
 
-    marked = of_both(pairs, ("size", F.size("tokens")), ("bitmap", F.col("bitmap")))
+    marked = pairs.join(marks("r"), "rid").join(marks("s"), "sid")
     likely = stored(marked.where(bitmaps_allow(threshold)).select("rid", "sid"))
-    both = of_both(likely, ("tokens", F.col("tokens")), ("copies", F.col("copies")))
-    similar = both.select(
-        "rid", "sid", "rcopies", "scopies", jaccard(F.col("rtokens"), F.col("stokens")).alias("sim")
-    ).where(F.col("sim") >= threshold)
-    return _unfold_copies(stored(similar), records.select("content", "id"), firsts)
+    # Each side is joined to the bare pairs, and the two meet on a key that is unique.
+    r, s = (balanced_join(likely, known(side, tokens=F.col("tokens")), [f"{side}id"]) for side in ("r", "s"))
+    sim = jaccard(F.col("rtokens"), F.col("stokens")).alias("sim")
+    similar = r.join(s, ["rid", "sid"]).select("rid", "sid", sim).where(F.col("sim") >= threshold)
+    return _unfold_copies(stored(similar), members)
 
 
-def _unfold_copies(similar: DataFrame, contents: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Replace each set by all the records that equal it."""
-    copied = firsts.where("copies > 1").select(
-        "content", "side", F.col("id").alias("first_id"), "copies"
+def _copies(records: DataFrame) -> DataFrame:
+    """``(side, id, first_id)`` of all records that equal another one of their side; the first has the smallest id."""
+    firsts = records.groupBy("side", "content").agg(
+        F.min("id").alias("first_id"), F.count("*").alias("copies")
     )
-    members = stored(lookup_join(contents, copied, key="content", weight="copies"))
+    copied = stored(firsts.where("copies > 1"))
+    contents = records.select("content", "id")
+    return stored(lookup_join(contents, copied, key="content", weight="copies").select("side", "id", "first_id"))
+
+
+def _unfold_copies(similar: DataFrame, members: DataFrame) -> DataFrame:
+    """Replace each set by all the records that equal it."""
     for side in ("r", "s"):
-        own = members.where(F.col("side") == side).select(
-            F.col("first_id").alias(f"{side}id"), F.col("id").alias("member")
-        )
-        copies = F.col(f"{side}copies")
-        unfolded = balanced_join(similar.where(copies > 1), own, [f"{side}id"])
-        similar = similar.where(copies == 1).unionByName(
-            unfolded.withColumn(f"{side}id", F.col("member")).drop("member")
-        )
-        if side == "r":  # the next join reads its input twice
+        own = members.where(F.col("side") == side)
+        ids = F.col("first_id").alias(f"{side}id")
+        unfolded = balanced_join(similar, own.select(ids, F.col("id").alias("member")), [f"{side}id"])
+        alone = similar.join(own.select(ids).distinct(), f"{side}id", "left_anti")
+        similar = alone.unionByName(unfolded.withColumn(f"{side}id", F.col("member")).drop("member"))
+        if side == "r":  # the next joins read their input several times
             similar = stored(similar)
     return similar.select("rid", "sid", "sim")

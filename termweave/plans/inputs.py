@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from termweave.functions import document_tokens, letter_runs, line_tokens
+from termweave.operators.rows import computed_once
 from termweave.runtime import shared_folder
 from termweave.sources import scan
 
@@ -31,7 +32,7 @@ def line_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scan(spark, f"{sf_dir}/documents.parquet", "text")
     cut = table.select(F.explode(F.split("text", "\n")).alias("line"))
     copies = cut.groupBy("line").agg(F.count("*").alias("copies"))
-    return copies.select(line_tokens(F.col("line")).alias("tokens"), "copies")
+    return copies.select(computed_once(line_tokens(F.col("line")), "tokens"), "copies")
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +68,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scan(spark, f"{sf_dir}/documents.parquet", "doc_id", "text")
     side = F.when(F.col("doc_id") % 2 == 0, "r").otherwise("s").alias("side")
     return table.select(
-        side, F.col("doc_id").alias("id"), letter_runs(F.col("text")).alias("tokens")
+        side, F.col("doc_id").alias("id"), computed_once(letter_runs(F.col("text")), "tokens")
     )
 
 
