@@ -8,7 +8,8 @@ is looked up, or found by undoing merges and kept.  Where no token fits, it goes
 token and marks the place as dead; as places die once, work is linear in the word, and the
 result is exactly that of merging by rank.
 
-Null texts count as empty; both have no ids and decode to the empty text.
+Null texts count as empty; both have no ids and decode to the empty text.  Texts of any length are encoded whole and decoded in
+parts.  Rows that repeat are coded each; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ bytes, its length, and its chunks; every level but the last is followed by its b
 
 Texts are ordered by id over range partitions, and each task writes segments of whole documents.
 Null and empty texts hold the end id only; rows with equal ids stay separate rows, ordered by
-a hash of their text.  An empty table gives no rows.
+a hash of their text, then by their number in the input.  A text of any length is encoded whole, in one segment, which may so be
+longer than others.  An empty table gives no rows.
 """
 
 from __future__ import annotations

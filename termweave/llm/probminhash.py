@@ -19,7 +19,8 @@ have then not been compared meet by a prefix filter on their rarest shingles, wh
 Equal texts are one text throughout, known by 128 bits of their content, and are not compared.
 Texts of fewer than ``SHINGLE`` words are one shingle.  Null texts, and texts without words, are
 equal only to texts that equal them; null equals null.  Rows that repeat an id are rows of their
-own.  A class is named by its smallest id, or null if it has none.  An empty table gives no rows.
+own.  A class is named by its smallest id, or null if it has none.  Texts of any length are signed and compared whole.  An empty
+table gives no rows.
 """
 
 from __future__ import annotations
