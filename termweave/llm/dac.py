@@ -33,13 +33,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from termweave.llm.bpe import UNSPLIT, byte_letters, words_of
-from termweave.llm.common import Memo, shared_folder, tidy
+from termweave.llm.common import Memo, once, shared_folder, tidy
 
 MAGIC = b"DAC1"
 WIDTHS = (1, 1, 2)
 END_ID = 1
 SEGMENT_IDS = 1 << 20
-# Words, and pieces of texts, that a task remembers.  Beyond so many pieces it begins anew; frequent ones are soon back.
+# Words, and pieces of texts, that an encoder remembers.  Beyond so many pieces it begins anew; frequent ones are soon back.
 KEPT = 250_000
 # Texts that are encoded together, by letters.
 TOGETHER = 1 << 20
@@ -246,7 +246,8 @@ def write_ids(
 
     @tidy
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(model.value)
+        # Kept for later tasks: most of what a task learns are words that all texts have.
+        encoder = once(("dac", hash(model.value)), lambda: Encoder(model.value))
         doc_ids, sizes, pieces, held, seq, start, part = [], [], [], 0, 0, 0, 0
 
         def segment() -> pd.DataFrame:
