@@ -177,7 +177,8 @@ def tidy(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]
 
 
 def release() -> None:
-    """Give memory that Python no longer uses back to the system, where the C library can."""
+    """Drop what ``once`` keeps, and give memory that Python no longer uses back to the system, where the C library can."""
+    _KEPT.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:
@@ -192,7 +193,7 @@ _KEPT: list = []
 def once(key: tuple, make: Callable[[], object]):
     """``make()``, kept for later tasks of the same Python process.
 
-    Only the latest key's is kept, so that what operators remember does not add up.
+    Only the latest key's is kept, until a ``tidy`` task of another operator, so that what operators remember does not add up.
     """
     if not _KEPT or _KEPT[0] != key:
         _KEPT.clear()
