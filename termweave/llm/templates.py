@@ -98,10 +98,11 @@ WORD = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "place", "other", "children", "key", "spot")
+    __slots__ = ("tag", "place", "other", "inside", "children", "key", "spot")
 
-    def __init__(self, tag: str, place: str, other: bool):
+    def __init__(self, tag: str, place: str, other: bool, inside: bool = False):
         self.tag, self.place, self.other = tag, place, other
+        self.inside = inside or tag in ("article", "main")  # whether its children are in an article
         self.children: list = []
         self.key = 0
         self.spot = (0, 0)  # hash of host and place, key
@@ -178,12 +179,12 @@ def parse(html: str) -> Node:
                     break
                 if stack[depth].tag in ended:
                     del stack[depth:]
-        inside = any(node.tag in ("article", "main") for node in stack)
+        inside = stack[-1].inside
         names, other = _declared(tag, attributes, inside)
         if tag == "header":
             other = other or not inside
         place = f"{stack[-1].place}>{tag}.{names}" if names else f"{stack[-1].place}>{tag}"
-        node = Node(tag, place, other)
+        node = Node(tag, place, other, inside)
         stack[-1].children.append(node)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS and tag not in RAW:
             continue
