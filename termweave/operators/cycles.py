@@ -18,10 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termweave.operators.skew import balanced_join, lookup_join
-from termweave.runtime import stored
+from termweave.runtime import shuffle_partitions, stored
 
 # Rounds of removing vertices that no cycle can pass.
 TRIM_ROUNDS = 16
+# Tasks that count half cycles, per partition of a shuffle: halves outnumber the edges.
+SPREAD = 4
 
 
 def vertices(edges: DataFrame) -> DataFrame:
@@ -182,26 +184,43 @@ def count_cycles(edges: DataFrame, k: int) -> DataFrame:
     No cycle is listed.  Halves between the same two vertices combine unless they share an inner vertex.  Pairs that share none
     are counted by inclusion and exclusion: over all sets of inner vertices, with alternating sign, the number of forward halves
     that pass the whole set times that of backward ones.  These are sums per pair of ends and set: no join.
+    All halves between two vertices are counted in one task.
     """
     forward, backward = _halves(edges, k)
     most_shared = k // 2 - 1
 
-    def by_set(half: DataFrame, inner: int, own: str, other: str) -> DataFrame:
-        counts = [F.col("n").alias(own), F.lit(0).cast("bigint").alias(other)]
-        if not most_shared:
-            return half.select("start", "end", F.lit(1).alias("sign"), *counts)
-        sets = [
+    most_inner = k - k // 2 - 1 if most_shared else 0
+
+    def bare(half: DataFrame, inner: int, own: str, other: str) -> DataFrame:
+        none = F.lit(None).cast("bigint")
+        passed = (
+            (F.get("inner", F.lit(at)) if at < inner else none).alias(f"inner{at}") for at in range(most_inner)
+        )
+        counts = (F.col("n").alias(own), F.lit(0).cast("bigint").alias(other))
+        return half.select("start", "end", *passed, F.lit(inner).alias("length"), *counts)
+
+    # Each half is exchanged once and unfolded to its sets behind that, in tasks small enough to count them.
+    width = SPREAD * shuffle_partitions(forward)
+    halves = bare(forward, k - k // 2 - 1, "f", "b").unionByName(bare(backward, most_shared, "b", "f"))
+    halves = halves.repartition(width, "start", "end")
+    sets = [
+        F.when(
+            F.col("length") > max(places, default=-1),
             F.struct(
                 F.lit((-1) ** size).alias("sign"),
-                F.sort_array(F.array(*(F.get("inner", F.lit(at)) for at in places)).cast("array<bigint>")).alias("shared"),
-            )
-            for size in range(most_shared + 1)
-            for places in combinations(range(inner), size)
-        ]
-        return half.select("start", "end", F.inline(F.array(*sets)), *counts)
-
-    halves = by_set(forward, k - k // 2 - 1, "f", "b").unionByName(by_set(backward, most_shared, "b", "f"))
-    keys = [column for column in halves.columns if column not in ("f", "b")]
+                F.sort_array(F.array(*(F.col(f"inner{at}") for at in places)).cast("array<bigint>")).alias("shared"),
+            ),
+        )
+        for size in range(most_shared + 1)
+        for places in combinations(range(most_inner), size)
+    ]
+    keys = ["start", "end", "sign"]
+    if most_shared:
+        found = halves.select("start", "end", "f", "b", F.explode(F.array(*sets)).alias("set"))
+        halves = found.where(F.col("set").isNotNull()).select("start", "end", "set.*", "f", "b")
+        keys.append("shared")
+    else:
+        halves = halves.select("start", "end", F.lit(1).alias("sign"), "f", "b")
     met = halves.groupBy(*keys).agg((_wide_sum("f") * _wide_sum("b")).alias("n"))
     total = F.sum(F.col("sign") * F.col("n")).cast("decimal(38,0)")
     return met.agg(F.coalesce(total, F.lit(0).cast("decimal(38,0)")).alias("n_cycles"))

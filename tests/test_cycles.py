@@ -115,3 +115,17 @@ def test_paths_and_vertices(spark):
     assert {v for (v,) in rows(cycles.vertices(graph(spark, edges)))} == {0, 1, 2}
     four = rows(cycles.simple_paths(graph(spark, TEN_EDGES), 4))
     assert all(len(set(path)) == 4 for path, _ in four)
+
+
+@pytest.mark.parametrize("k", [3, 4, 5])
+def test_a_half_cycle_is_exchanged_once(spark, k):
+    """Sets of inner vertices are unfolded behind the exchange of the halves, and counted there."""
+    edges = spark.createDataFrame([(a, b) for a in range(6) for b in range(6) if a != b], "src long, dst long")
+    counted = cycles.count_cycles(edges, k)
+    expected = {3: 40, 4: 90, 5: 144}[k]
+    assert int(counted.first()[0]) == expected
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    # From the top: the total's exchange, then that of the halves.
+    behind = plan.split("Exchange")[1]
+    assert behind.count("HashAggregate") == 3
+    assert ("explode" in behind) == (k > 3)
