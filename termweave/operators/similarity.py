@@ -19,13 +19,14 @@ from __future__ import annotations
 
 import math
 from functools import reduce
+from itertools import product
 from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termweave.operators.rows import in_order, unnest
-from termweave.operators.skew import balanced_join, lookup_join
+from termweave.operators.skew import TASK_CELL_ROWS, balanced_join, key_sizes, lookup_join, result_tasks
 from termweave.runtime import SORTED_NUMBERS, stored
 
 SIMILARITY_DIGITS = 6
@@ -87,16 +88,22 @@ def lowest_similarity(threshold: float) -> float:
     return max(threshold - ROUNDING_SLACK, ROUNDING_SLACK)
 
 
-def prefixes(ordered: DataFrame, threshold: float) -> DataFrame:
-    """``(side, id, size, rank, token_id)``: the first ``size - ceil(t * size) + 1`` tokens."""
+def prefixes(ordered: DataFrame, threshold: float, earlier: int = 0) -> DataFrame:
+    """``(side, id, size, rank, token_id)``: the first ``size - ceil(t * size) + 1`` tokens.
+
+    ``before1`` to ``before{earlier}`` are the tokens of the set just before each, null at its beginning.
+    """
     size = F.size("tokens")
     length = (size - F.ceil(size * lowest_similarity(threshold)) + 1).cast("int")
-    return ordered.select(
-        "side",
-        "id",
-        size.alias("size"),
-        F.posexplode(F.slice("tokens", F.lit(1), length)).alias("rank", "token_id"),
-    ).select("side", "id", "size", (F.col("rank") + 1).alias("rank"), "token_id")
+
+    def entry(token: Column, at: Column) -> Column:
+        before = (F.get("tokens", at - back).alias(f"before{back}") for back in range(1, earlier + 1))
+        return F.struct((at + 1).alias("rank"), token.alias("token_id"), *before)
+
+    entries = F.transform(F.slice("tokens", F.lit(1), length), entry)
+    return ordered.select("side", "id", size.alias("size"), F.explode(entries).alias("entry")).select(
+        "side", "id", "size", "entry.*"
+    )
 
 
 def _near(lowest: float) -> Column:
@@ -105,7 +112,16 @@ def _near(lowest: float) -> Column:
 
 
 def met_in_prefix(prefix: DataFrame, threshold: float) -> DataFrame:
-    """Prefix tokens of both sides ``(token_id, size_class, rid, rsize, rrank, sid, ssize, srank)`` that meet.
+    """Prefix tokens of both sides ``(token_id, size_class, rid, rsize, rrank, sid, ssize, srank)`` that meet."""
+    return _met(prefix, threshold)[0]
+
+
+def _earlier(prefix: DataFrame) -> list[str]:
+    return [column for column in prefix.columns if column.startswith("before")]
+
+
+def _met(prefix: DataFrame, threshold: float) -> tuple[DataFrame, int]:
+    """``met_in_prefix``, and its number of tasks: dealt by what comes out, which may grow with the square of what goes in.
 
     Sizes fall into classes that grow by the factor of sizes that may still be similar.  A set of side ``s`` asks for the
     classes of its own smallest to largest possible partner, three at most; others it never meets.
@@ -121,6 +137,7 @@ def met_in_prefix(prefix: DataFrame, threshold: float) -> DataFrame:
             F.col("id").alias(f"{side}id"),
             F.col("size").alias(f"{side}size"),
             F.col("rank").alias(f"{side}rank"),
+            *(F.col(column).alias(f"{side}{column}") for column in _earlier(prefix)),
         )
         for side in ("r", "s")
     )
@@ -128,22 +145,36 @@ def met_in_prefix(prefix: DataFrame, threshold: float) -> DataFrame:
     smallest = F.greatest(F.lit(1), F.ceil(F.col("ssize") * lowest - 1e-9))
     largest = F.floor(F.col("ssize") / lowest + 1e-9)
     asked = F.sequence(size_class(smallest), size_class(largest))
-    return balanced_join(r, s.withColumn("size_class", F.explode(asked)), ["token_id", "size_class"])
+    s = s.withColumn("size_class", F.explode(asked))
+    on = ["token_id", "size_class"]
+    sizes = key_sizes(r, s, on)
+    tasks = result_tasks(sizes)
+    return balanced_join(r, s, on, cell_rows=TASK_CELL_ROWS, sizes=sizes, tasks=tasks), tasks
 
 
-def candidates(prefix: DataFrame, threshold: float, positional: bool = False) -> DataFrame:
+def candidates(
+    prefix: DataFrame, threshold: float, positional: bool = False, order: DataFrame | None = None
+) -> DataFrame:
     """``(rid, sid)``: pairs that share a prefix token and are of compatible size, once each.
 
     ``positional`` also asks that the tokens from the shared one on suffice for the
     overlap the threshold needs.  The first token a pair shares passes if any does, so
-    no similar pair is lost.  ``prefix`` is read several times.
+    no similar pair is lost.  ``prefix`` is read several times.  With the ``order``, tokens of
+    one record, which meet nothing, are left out beforehand.  A meeting is passed over where the
+    prefixes' ``earlier`` tokens show that the pair shares one of those: it also meets there.
     """
     lowest = lowest_similarity(threshold)
     near = _near(lowest)
+    if order is not None:  # rarest first, so they have the first numbers
+        prefix = prefix.where(F.col("token_id") >= order.where("freq = 1").count())
     if positional:
         most = F.least(F.col("rsize") - F.col("rrank"), F.col("ssize") - F.col("srank")) + 1
         near &= most >= (F.col("rsize") + F.col("ssize")) * (lowest / (1 + lowest))
-    return met_in_prefix(prefix, threshold).where(near).select("rid", "sid").distinct()
+    for a, b in product(_earlier(prefix), repeat=2):  # the pair met before
+        near &= ~F.coalesce(F.col(f"r{a}") == F.col(f"s{b}"), F.lit(False))
+    met, tasks = _met(prefix, threshold)
+    # Pairs are told apart behind the exchange, in tasks of bounded size, and not before it as well.
+    return met.where(near).select("rid", "sid").repartition(tasks, "rid", "sid").distinct()
 
 
 def bitmaps_allow(threshold: float) -> Column:
@@ -185,8 +216,9 @@ def join_records(records: DataFrame, threshold: float) -> DataFrame:
     # One record of each content: the others are left out by their ids, so token arrays stay where they are.
     others = members.where("id != first_id").select("side", "id")
     distinct_sets = records.drop("content").join(others, ["side", "id"], "left_anti")
-    sets = stored(canonical_order(distinct_sets, token_order(records)), **SORTED_NUMBERS)
-    pairs = stored(candidates(prefixes(sets, threshold), threshold, positional=True))
+    order = token_order(records)
+    sets = stored(canonical_order(distinct_sets, order), **SORTED_NUMBERS)
+    pairs = stored(candidates(prefixes(sets, threshold), threshold, positional=True, order=order))
 
     def known(side: str, **columns: Column) -> DataFrame:
         named = (column.alias(f"{side}{name}") for name, column in columns.items())
@@ -197,10 +229,11 @@ def join_records(records: DataFrame, threshold: float) -> DataFrame:
 
     marked = pairs.join(marks("r"), "rid").join(marks("s"), "sid")
     likely = stored(marked.where(bitmaps_allow(threshold)).select("rid", "sid"))
-    # Each side is joined to the bare pairs, and the two meet on a key that is unique.
-    r, s = (balanced_join(likely, known(side, tokens=F.col("tokens")), [f"{side}id"]) for side in ("r", "s"))
+    # Only the sets of one side move with the pairs.  All keys are counted on the bare pairs.
+    r, s = (known(side, tokens=F.col("tokens")) for side in ("r", "s"))
+    met = balanced_join(balanced_join(likely, r, ["rid"]), s, ["sid"], sizes=key_sizes(likely, s, ["sid"]))
     sim = jaccard(F.col("rtokens"), F.col("stokens")).alias("sim")
-    similar = r.join(s, ["rid", "sid"]).select("rid", "sid", sim).where(F.col("sim") >= threshold)
+    similar = met.select("rid", "sid", sim).where(F.col("sim") >= threshold)
     return _unfold_copies(stored(similar), members)
 
 

@@ -8,6 +8,8 @@ too light to unbalance a shuffle.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,9 @@ SPLIT_HEAVY_KEYS = 10_000
 SHORT_KEY_BYTES = 64
 # A split key is cut into cells of at most about this many rows a side.
 SPLIT_CELL_ROWS = 20_000
+# Where the result is kept in memory behind the join, a task makes about so many rows of it, from cells of so many rows a side.
+TASK_RESULT_ROWS = 2_000_000
+TASK_CELL_ROWS = 1_000
 
 
 def _share(df: DataFrame, least: int) -> int:
@@ -67,12 +72,30 @@ def lookup_join(
     return met.unionByName(rest.join(light, key).select(*columns))
 
 
+def key_sizes(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """``(_digest, l, r)``: number of rows of either side with the key.  A stored table, made of the key columns alone."""
+    digest = F.xxhash64(*on).alias("_digest")
+    sides = left.select(digest, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+        right.select(digest, F.lit(0).alias("l"), F.lit(1).alias("r"))
+    )
+    return stored(sides.groupBy("_digest").agg(F.sum("l").alias("l"), F.sum("r").alias("r")))
+
+
+def result_tasks(sizes: DataFrame, task_rows: int = TASK_RESULT_ROWS) -> int:
+    """Number of tasks that make about ``task_rows`` rows of a join each; the shuffle width at least."""
+    result = sizes.agg(F.sum(F.col("l").cast("double") * F.col("r"))).first()[0]
+    return max(shuffle_partitions(sizes), math.ceil((result or 0) / task_rows))
+
+
 def balanced_join(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
     heavy_keys: int | None = None,
     cell_rows: int = SPLIT_CELL_ROWS,
+    *,
+    sizes: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Inner equi-join of two sides that may both hold many rows of one key.
 
@@ -83,14 +106,13 @@ def balanced_join(
 
     Keys are of the same types on both sides.  They are counted by a 64-bit digest, so keys of
     any length and type can be split; two keys of one digest are just cut alike.  The counts
-    are stored once, read from the key columns alone.  Equal rows of a side share a cell.
+    are stored once, read from the key columns alone, or are ``sizes`` if given.  Equal rows of a side share a cell.
+
+    ``tasks`` sets the number of tasks.  The keys that are not split then make less than half a mean task's result each.
     """
-    heavy_keys = heavy_keys or _share(left, SPLIT_HEAVY_KEYS)
+    heavy_keys = heavy_keys or max(_share(left, SPLIT_HEAVY_KEYS), 2 * (tasks or 0))
     digest = F.xxhash64(*on).alias("_digest")
-    sides = left.select(digest, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
-        right.select(digest, F.lit(0).alias("l"), F.lit(1).alias("r"))
-    )
-    sizes = stored(sides.groupBy("_digest").agg(F.sum("l").alias("l"), F.sum("r").alias("r")))
+    sizes = key_sizes(left, right, on) if sizes is None else sizes
     rows = F.col("l").cast("double") + F.col("r")
     result = F.col("l").cast("double") * F.col("r")
     total = sizes.agg(F.struct(F.sum(rows).alias("rows"), F.sum(result).alias("result"))).scalar()
@@ -113,5 +135,8 @@ def balanced_join(
             F.explode(F.sequence(F.lit(0), other_cells - 1)).alias(f"{other}_cell"),
         )
 
-    dealt = deal(left, "l", "r").join(deal(right, "r", "l"), [*on, "l_cell", "r_cell"])
-    return dealt.drop("l_cell", "r_cell")
+    cell = [*on, "l_cell", "r_cell"]
+    l, r = deal(left, "l", "r"), deal(right, "r", "l")
+    if tasks:  # else the rows that go in decide, however many come out
+        l, r = l.repartition(tasks, *cell), r.repartition(tasks, *cell)
+    return l.join(r, cell).drop("l_cell", "r_cell")

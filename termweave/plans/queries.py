@@ -128,9 +128,10 @@ def prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similarity_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = similarity.canonical_order(stored(_records(spark, sf_dir)))
-    sets = stored(sets, **SORTED_NUMBERS)
-    return similarity.candidates(similarity.prefixes(sets, THRESHOLD), THRESHOLD)
+    records = stored(_records(spark, sf_dir))
+    order = similarity.token_order(records)
+    sets = stored(similarity.canonical_order(records, order), **SORTED_NUMBERS)
+    return similarity.candidates(similarity.prefixes(sets, THRESHOLD, earlier=2), THRESHOLD, order=order)
 
 
 def set_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -175,3 +175,49 @@ def test_text_order(spark):
         "(9,20)\t0.826923",
         "(10,1)\t0.9",
     ]
+
+
+def test_pairs_that_meet_are_made_in_tasks_of_bounded_size(spark, monkeypatch):
+    """Few records in, many pairs out: the tasks follow the pairs, and a task tells apart no more than its share."""
+    monkeypatch.setattr(similarity.result_tasks, "__defaults__", (1_000,))
+    many = [(i, [1, 2, 3, 4, 5, 6, 7, 8, 9, 100 + i]) for i in range(60)]
+    records = stored(similarity.two_sided(side(spark, many), side(spark, many)))
+    order = similarity.token_order(records)
+    prefix = stored(similarity.prefixes(similarity.canonical_order(records, order), 0.5, earlier=2))
+    found = similarity.candidates(prefix, 0.5, order=order)
+    plain = similarity.candidates(prefix.drop("before1", "before2"), 0.5)
+    assert set(rows(found)) == set(rows(plain)) == {(r, s) for r in range(60) for s in range(60)}
+    assert found.count() == 3_600
+    sizes = [n for (n,) in rows(found.groupBy(F.spark_partition_id()).agg(F.count("*")).select("count(1)"))]
+    assert len(sizes) > 10 and max(sizes) < 1_000
+
+
+def test_earlier_tokens_of_a_prefix_lose_no_pair(spark):
+    rng = random.Random(11)
+    r, s = ([(i, rng.sample(range(14), rng.randint(1, 12))) for i in range(80)] for _ in "rs")
+    r, s = r + [(80, [900])], s + [(80, [901])]
+    records = stored(similarity.two_sided(side(spark, r), side(spark, s)))
+    order = similarity.token_order(records)
+    sets = stored(similarity.canonical_order(records, order))
+    plain = rows(similarity.candidates(similarity.prefixes(sets, 0.6), 0.6))
+    for earlier in (1, 2, 3):
+        prefix = stored(similarity.prefixes(sets, 0.6, earlier))
+        assert sorted(rows(similarity.candidates(prefix, 0.6, order=order))) == sorted(plain)
+    first = prefix.where("rank = 1").select("before1").distinct()
+    assert rows(first) == [(None,)]
+
+
+def test_sets_of_one_side_only_move_with_the_pairs(spark, monkeypatch):
+    joined = []
+    join_sides = similarity.balanced_join
+
+    def noted(left, right, on, *rest, **named):
+        joined.append((left.columns, on))
+        return join_sides(left, right, on, *rest, **named)
+
+    monkeypatch.setattr(similarity, "balanced_join", noted)
+    assert sorted(join(spark, R, S, 0.5)) == [(0, 0, 0.75), (1, 1, 0.5), (2, 0, 0.5), (2, 1, 0.5)]
+    moved = [on for left, on in joined if "rtokens" in left]
+    assert moved == [["sid"]]
+    # Nothing is joined on whole pairs, with the sets of both sides on the way.
+    assert ["rid", "sid"] not in [on for _, on in joined]
