@@ -17,7 +17,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termweave.operators.skew import balanced_join, lookup_join
+from termweave.operators.skew import SPLIT_CELL_ROWS, balanced_join, lookup_join
 from termweave.runtime import shuffle_partitions, stored
 
 # Rounds of removing vertices that no cycle can pass.
@@ -106,7 +106,7 @@ def _lower(a: str, b: str) -> Column:
 
 
 def _half_cycles(ranked: DataFrame, length: int) -> DataFrame:
-    """``(start, end, inner, n)``: paths of ``length`` edges that stay below their start."""
+    """``(start, start_degree, end, inner, n)``: paths of ``length`` edges that stay below their start."""
     paths = ranked.where(_lower("dst", "src")).select(
         F.col("src").alias("start"),
         F.col("src_degree").alias("start_degree"),
@@ -134,7 +134,7 @@ def _half_cycles(ranked: DataFrame, length: int) -> DataFrame:
                 (F.col("n") * F.col("step_n")).alias("n"),
             )
         )
-    return paths.select("start", "end", "inner", "n")
+    return paths.select("start", "start_degree", "end", "inner", "n")
 
 
 def _halves(edges: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
@@ -155,11 +155,28 @@ def _halves(edges: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     return _half_cycles(ranked, k - k // 2), _half_cycles(reverse, k // 2)
 
 
+def _met_halves(forward: DataFrame, backward: DataFrame, k: int) -> DataFrame:
+    """``(start, end, inner, n, back, back_n)``: stored halves that meet.
+
+    Halves of two edges at most leave their start by different edges, so not more of them meet in an end than the
+    start's degree.  Only from hubs can that be more than a cell of a split key, so other halves need no counting.
+    """
+    on = ["start", "end"]
+    back = backward.withColumnsRenamed({"inner": "back", "n": "back_n"})
+    hub = F.col("start_degree") > (SPLIT_CELL_ROWS if k <= 4 else -1)
+
+    def part(which: Column) -> tuple[DataFrame, DataFrame]:
+        return forward.where(which).drop("start_degree"), back.where(which).drop("start_degree")
+
+    others, hubs = part(~hub), part(hub)
+    met = others[0].join(others[1], on)
+    return met if hubs[0].isEmpty() else met.unionByName(balanced_join(*hubs, on))
+
+
 def simple_cycles(edges: DataFrame, k: int) -> DataFrame:
     """``(cycle, n)``: each directed simple cycle of ``k`` vertices once, smallest id first."""
     forward, backward = (stored(half) for half in _halves(edges, k))
-    back = backward.select("start", "end", F.col("inner").alias("back"), F.col("n").alias("back_n"))
-    met = balanced_join(forward, back, ["start", "end"]).where(~F.arrays_overlap("inner", "back"))
+    met = _met_halves(forward, backward, k).where(~F.arrays_overlap("inner", "back"))
     around = met.select(
         F.concat(F.array("start"), "inner", F.array("end"), F.reverse("back")).alias("cycle"),
         (F.col("n") * F.col("back_n")).alias("n"),

@@ -129,3 +129,25 @@ def test_a_half_cycle_is_exchanged_once(spark, k):
     behind = plan.split("Exchange")[1]
     assert behind.count("HashAggregate") == 3
     assert ("explode" in behind) == (k > 3)
+
+
+@pytest.mark.parametrize("k", [2, 3, 4, 5])
+def test_halves_that_meet_are_counted_at_hubs_only(spark, monkeypatch, k):
+    """Halves of two edges are not counted by their ends unless their start is a hub; the cycles are the same."""
+    edges = [(a, b) for a in range(6) for b in range(6) if a != b] + [(0, 1), (6, 0), (1, 6), (6, 7), (7, 6)]
+    counted = []
+    join_sides = cycles.balanced_join
+
+    def noted(left, right, on, *rest, **named):
+        counted.append(on)
+        return join_sides(left, right, on, *rest, **named)
+
+    monkeypatch.setattr(cycles, "balanced_join", noted)
+    found = {}
+    for cell_rows in (20_000, 10, 0):
+        monkeypatch.setattr(cycles, "SPLIT_CELL_ROWS", cell_rows)
+        counted.clear()
+        found[cell_rows] = sorted(rows(cycles.simple_cycles(graph(spark, edges), k)))
+        assert (["start", "end"] in counted) == (k == 5 or cell_rows < 20_000 and k > 2)
+    assert found[20_000] == found[10] == found[0]
+    assert sum(n for _, n in found[0]) == int(cycles.count_cycles(graph(spark, edges), k).first()[0])
