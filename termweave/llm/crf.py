@@ -47,7 +47,8 @@ LEXICON_SHARE = 0.8
 # Words and pieces of text that a task remembers before it starts anew.
 KEPT_WORDS = 150_000
 KEPT_PIECES = 200_000
-TOGETHER = 1 << 21
+# Letters that a task labels at a time: a word takes about a dozen arrays of its probabilities meanwhile.
+TOGETHER = 1 << 18
 UNDETERMINED = "und"
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
