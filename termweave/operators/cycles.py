@@ -17,7 +17,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termweave.operators.skew import SPLIT_CELL_ROWS, balanced_join, lookup_join
+from termweave.operators.skew import SPLIT_CELL_ROWS, balanced_join, key_sizes, lookup_join, result_tasks
 from termweave.runtime import shuffle_partitions, stored
 
 # Rounds of removing vertices that no cycle can pass.
@@ -105,8 +105,12 @@ def _lower(a: str, b: str) -> Column:
     return F.struct(f"{a}_degree", a) < F.struct(f"{b}_degree", b)
 
 
-def _half_cycles(ranked: DataFrame, length: int) -> DataFrame:
-    """``(start, start_degree, end, inner, n)``: paths of ``length`` edges that stay below their start."""
+def _half_cycles(ranked: DataFrame, length: int) -> tuple[DataFrame, int]:
+    """``(start, start_degree, end, inner, n)``: paths of ``length`` edges that stay below their start.
+
+    And the number of tasks that make them, or are to work on them: at most about ``TASK_RESULT_ROWS`` of them each.
+    """
+    tasks = shuffle_partitions(ranked)
     paths = ranked.where(_lower("dst", "src")).select(
         F.col("src").alias("start"),
         F.col("src_degree").alias("start_degree"),
@@ -123,8 +127,10 @@ def _half_cycles(ranked: DataFrame, length: int) -> DataFrame:
     for extension in range(length - 1):
         if extension:  # the join reads its input twice
             paths = stored(paths)
+        sizes = key_sizes(paths, steps, ["end"])
+        tasks = result_tasks(sizes)
         paths = (
-            balanced_join(paths, steps, ["end"])
+            balanced_join(paths, steps, ["end"], sizes=sizes)
             .where(_lower("next", "start") & ~F.array_contains("inner", F.col("next")))
             .select(
                 "start",
@@ -134,10 +140,10 @@ def _half_cycles(ranked: DataFrame, length: int) -> DataFrame:
                 (F.col("n") * F.col("step_n")).alias("n"),
             )
         )
-    return paths.select("start", "start_degree", "end", "inner", "n")
+    return paths.select("start", "start_degree", "end", "inner", "n"), tasks
 
 
-def _halves(edges: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+def _halves(edges: DataFrame, k: int) -> tuple[tuple[DataFrame, int], tuple[DataFrame, int]]:
     if k < 2:
         raise ValueError("a cycle needs k >= 2 vertices")
     if k == 2:  # no path is extended, so any ranking does
@@ -175,7 +181,7 @@ def _met_halves(forward: DataFrame, backward: DataFrame, k: int) -> DataFrame:
 
 def simple_cycles(edges: DataFrame, k: int) -> DataFrame:
     """``(cycle, n)``: each directed simple cycle of ``k`` vertices once, smallest id first."""
-    forward, backward = (stored(half) for half in _halves(edges, k))
+    forward, backward = (stored(half) for half, _ in _halves(edges, k))
     met = _met_halves(forward, backward, k).where(~F.arrays_overlap("inner", "back"))
     around = met.select(
         F.concat(F.array("start"), "inner", F.array("end"), F.reverse("back")).alias("cycle"),
@@ -203,7 +209,7 @@ def count_cycles(edges: DataFrame, k: int) -> DataFrame:
     that pass the whole set times that of backward ones.  These are sums per pair of ends and set: no join.
     All halves between two vertices are counted in one task.
     """
-    forward, backward = _halves(edges, k)
+    (forward, tasks), (backward, back_tasks) = _halves(edges, k)
     most_shared = k // 2 - 1
 
     most_inner = k - k // 2 - 1 if most_shared else 0
@@ -217,7 +223,7 @@ def count_cycles(edges: DataFrame, k: int) -> DataFrame:
         return half.select("start", "end", *passed, F.lit(inner).alias("length"), *counts)
 
     # Each half is exchanged once and unfolded to its sets behind that, in tasks small enough to count them.
-    width = SPREAD * shuffle_partitions(forward)
+    width = max(SPREAD * shuffle_partitions(forward), tasks + back_tasks)
     halves = bare(forward, k - k // 2 - 1, "f", "b").unionByName(bare(backward, most_shared, "b", "f"))
     halves = halves.repartition(width, "start", "end")
     sets = [

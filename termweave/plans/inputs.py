@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from termweave.functions import document_tokens, letter_runs, line_tokens
 from termweave.operators.rows import computed_once
-from termweave.runtime import shared_folder
+from termweave.runtime import shared_folder, shuffle_partitions
 from termweave.sources import scan
 
 LINES_PER_CHUNK = 1024
+# Lines of orders that a task sorts, about; fewer where the shuffle is wider.
+TASK_ITEMS = 1_000_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,12 +44,16 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The next part is looked for among neighbouring line numbers first, and only the
     first part of each such chunk is compared across a whole order.  An order with very many
-    lines is therefore not one sorting group.  Chunks depend on values alone.
+    lines is therefore not one sorting group.  Chunks depend on values alone.  The lines are counted when this is
+    called: tasks are dealt by their number, as few bytes of an exchange may be very many of them.
     """
     order = ("l_linenumber", "l_partkey")
     items = scan(spark, f"{sf_dir}/lineitem.parquet", "l_orderkey", *order).withColumn(
         "chunk", F.floor(F.col("l_linenumber") / LINES_PER_CHUNK)
     )
+    tasks = math.ceil(items.count() / TASK_ITEMS)
+    if tasks > 1:
+        items = items.repartition(max(tasks, shuffle_partitions(items)), "l_orderkey", "chunk")
     by = W.partitionBy("l_orderkey", "chunk").orderBy(*order)
     inside = items.select(
         "l_orderkey",

@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 
 from termweave.operators import cycles
+from termweave.plans import inputs
 
 TEN_EDGES = [(0, 1), (0, 2), (1, 2), (1, 3), (2, 3), (2, 4), (3, 2), (3, 4), (4, 0), (4, 3)]
 
@@ -151,3 +152,28 @@ def test_halves_that_meet_are_counted_at_hubs_only(spark, monkeypatch, k):
         assert (["start", "end"] in counted) == (k == 5 or cell_rows < 20_000 and k > 2)
     assert found[20_000] == found[10] == found[0]
     assert sum(n for _, n in found[0]) == int(cycles.count_cycles(graph(spark, edges), k).first()[0])
+
+
+def test_lines_of_orders_are_dealt_by_their_number(spark, monkeypatch, tmp_path):
+    items = [(order, line % 7, line * 31 % 50) for order in range(20) for line in range(9)] + [(None, 1, 2)] * 3
+    table = spark.createDataFrame(items, "l_orderkey long, l_linenumber int, l_partkey long")
+    table.write.parquet(str(tmp_path / "lineitem.parquet"))
+    few = inputs.edges(spark, str(tmp_path))
+    monkeypatch.setattr(inputs, "TASK_ITEMS", 10)
+    many = inputs.edges(spark, str(tmp_path))
+    assert Counter(rows(many)) == Counter(rows(few))
+    dealt = "REPARTITION_BY_NUM"
+    assert dealt not in few._jdf.queryExecution().executedPlan().toString()
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert dealt in plan and ", 19)" in plan
+
+
+@pytest.mark.parametrize("k", [3, 4, 5])
+def test_halves_are_counted_in_tasks_by_their_number(spark, monkeypatch, k):
+    edges = [(a, b) for a in range(6) for b in range(6) if a != b]
+    expected = count(spark, edges, k)
+    monkeypatch.setattr(cycles, "result_tasks", lambda sizes: 37)
+    counted = cycles.count_cycles(graph(spark, edges), k)
+    assert rows(counted)[0][0] == expected == sum(brute_force(edges, k).values())
+    tasks = 41 if k == 3 else 74  # a half of one edge is not joined: the session's width, 4
+    assert f", {tasks})" in counted._jdf.queryExecution().executedPlan().toString()
