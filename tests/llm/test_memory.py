@@ -19,7 +19,7 @@ def test_texts_of_a_batch_are_labelled_a_few_at_a_time():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(judged) == len(texts)
-    assert peak < 50_000_000
+    assert peak < 15_000_000
 
 
 def test_a_task_begins_without_what_another_operator_kept():
