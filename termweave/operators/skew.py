@@ -81,10 +81,13 @@ def key_sizes(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return stored(sides.groupBy("_digest").agg(F.sum("l").alias("l"), F.sum("r").alias("r")))
 
 
-def result_tasks(sizes: DataFrame, task_rows: int = TASK_RESULT_ROWS) -> int:
-    """Number of tasks that make about ``task_rows`` rows of a join each; the shuffle width at least."""
+def result_tasks(sizes: DataFrame, task_rows: int = TASK_RESULT_ROWS, *, besides: float = 0.0) -> int:
+    """Number of tasks that make about ``task_rows`` rows of a join each; the shuffle width at least.
+
+    ``besides`` are rows of keys that are not among the ``sizes``.
+    """
     result = sizes.agg(F.sum(F.col("l").cast("double") * F.col("r"))).first()[0]
-    return max(shuffle_partitions(sizes), math.ceil((result or 0) / task_rows))
+    return max(shuffle_partitions(sizes), math.ceil(((result or 0) + besides) / task_rows))
 
 
 def balanced_join(

@@ -11,7 +11,7 @@ from termweave import sources
 from termweave.operators import cooccurrence, cycles, similarity, tfidf
 from termweave.operators.rows import places, unnest
 from termweave.plans import inputs
-from termweave.runtime import SORTED_NUMBERS, materialise, shared_folder, stored
+from termweave.runtime import SORTED_NUMBERS, shared_folder, stored
 
 THRESHOLD = 0.8
 
@@ -140,7 +140,7 @@ def set_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _numbered(lines: DataFrame) -> DataFrame:
     """``(line_no, value)``: ordered output lines with their place in it, from 1."""
-    kept = materialise(lines).withColumn("_at", F.monotonically_increasing_id())
+    kept = stored(lines.withColumn("_at", F.monotonically_increasing_id()))
     known, place = places(kept, F.col("_at"))
     return known.select((place + 1).alias("line_no"), "value")
 

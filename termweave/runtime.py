@@ -16,6 +16,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 # Parquet options for sorted numbers, of which only the differences are kept.
 SORTED_NUMBERS = {"parquet.writer.version": "v2", "parquet.enable.dictionary": "false"}
+# For tables of texts or many numbers, where disk counts for more than the time to write them.
+SMALL = {"compression": "zstd"}
 
 
 def stored(df: DataFrame, **options: str) -> DataFrame:

@@ -221,3 +221,59 @@ def test_sets_of_one_side_only_move_with_the_pairs(spark, monkeypatch):
     assert moved == [["sid"]]
     # Nothing is joined on whole pairs, with the sets of both sides on the way.
     assert ["rid", "sid"] not in [on for _, on in joined]
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+def test_pairs_carry_folded_bitmaps(spark, threshold):
+    """Small sets have narrow ones, that lose no similar pair and still rule out most others."""
+    sets = stored(similarity.canonical_order(similarity.two_sided(drawn_sets(spark, 5), drawn_sets(spark, 5)), bitmap=False))
+    assert "bitmap" not in sets.columns
+
+    def marks(side, bitmap):
+        own = similarity.bitmaps(sets.where(F.col("side") == side))
+        kept = own.select("id", "size", bitmap.alias("bitmap"))
+        return kept.join(sets.where(F.col("side") == side).select("id", "tokens"), "id").select(
+            *(F.col(c).alias(f"{side}{c}") for c in ("id", "size", "bitmap", "tokens"))
+        )
+
+    narrow = marks("r", similarity.folded(F.col("bitmap"), F.col("size"), threshold))
+    assert narrow.where("rsize < 10 AND size(rbitmap) > 2").count() == 0
+    assert narrow.where("size(rtokens) <> rsize").count() == 0
+    met = narrow.join(marks("s", similarity.all_widths(F.col("bitmap"))), F.col("rsize").between(F.col("ssize") * 0.5, F.col("ssize") * 2))
+    sim = similarity.jaccard(F.col("rtokens"), F.col("stokens"))
+    judged = met.select(sim.alias("sim"), similarity.bitmaps_allow(threshold).alias("kept"))
+    true, lost, false, n = judged.agg(
+        F.count_if(F.col("sim") >= threshold),
+        F.count_if((F.col("sim") >= threshold) & ~F.col("kept")),
+        F.count_if((F.col("sim") < threshold) & F.col("kept")),
+        F.count("*"),
+    ).first()
+    assert true >= 150 and lost == 0 and false < 0.2 * n
+
+
+def test_tokens_of_few_records_are_sent_once(spark, monkeypatch):
+    sent = []
+    join_sides, count_keys = similarity.balanced_join, similarity.key_sizes
+
+    def noted(left, right, *rest, **named):
+        sent.append((left.count(), right.count()))
+        return join_sides(left, right, *rest, **named)
+
+    def counted(left, right, on):
+        sent.append((left.count(), right.count()))
+        return count_keys(left, right, on)
+
+    monkeypatch.setattr(similarity, "balanced_join", noted)
+    monkeypatch.setattr(similarity, "key_sizes", counted)
+    records = stored(similarity.two_sided(drawn_sets(spark, 6), drawn_sets(spark, 7)))
+    order = stored(similarity.token_order(records))
+    prefix = stored(similarity.prefixes(similarity.canonical_order(records, order), 0.8))
+    plain = sorted(rows(similarity.candidates(prefix, 0.8)))
+    sent.clear()
+    for few in (similarity.FEW_RECORDS, 20):  # all tokens, and some
+        monkeypatch.setattr(similarity, "FEW_RECORDS", few)
+        assert sorted(rows(similarity.candidates(prefix, 0.8, order=order))) == plain
+    several = prefix.where(F.col("token_id") >= order.where("freq = 1").count())
+    own = tuple(several.where(F.col("side") == side).count() for side in "rs")
+    assert sent[:2] == [(0, 0), own]
+    assert 0 < sent[2][0] < own[0] and sent[3][0] == own[0] and sent[3][1] > own[1]
