@@ -270,7 +270,7 @@ def test_tokens_of_few_records_are_sent_once(spark, monkeypatch):
     prefix = stored(similarity.prefixes(similarity.canonical_order(records, order), 0.8))
     plain = sorted(rows(similarity.candidates(prefix, 0.8)))
     sent.clear()
-    for few in (similarity.FEW_RECORDS, 20):  # all tokens, and some
+    for few in (similarity.FEW_RECORDS, 36):  # all tokens, and some
         monkeypatch.setattr(similarity, "FEW_RECORDS", few)
         assert sorted(rows(similarity.candidates(prefix, 0.8, order=order))) == plain
     several = prefix.where(F.col("token_id") >= order.where("freq = 1").count())
