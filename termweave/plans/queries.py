@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termweave import sources
-from termweave.operators import cooccurrence, cycles, similarity, tfidf
+from termweave.operators import candidate_scan, cooccurrence, cycles, similarity, tfidf
 from termweave.operators.rows import places, unnest
 from termweave.plans import inputs
-from termweave.runtime import SORTED_NUMBERS, shared_folder, stored
+from termweave.runtime import SMALL, shared_folder, stored
 
 THRESHOLD = 0.8
 
@@ -128,10 +128,10 @@ def prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similarity_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = stored(_records(spark, sf_dir))
+    records = stored(_records(spark, sf_dir), **SMALL)
     order = similarity.token_order(records)
-    sets = stored(similarity.canonical_order(records, order), **SORTED_NUMBERS)
-    return similarity.candidates(similarity.prefixes(sets, THRESHOLD, earlier=2), THRESHOLD, order=order)
+    sets = similarity.canonical_order(records, order, bitmap=False)
+    return candidate_scan.scanned_candidates(sets, similarity.lowest_similarity(THRESHOLD), order)
 
 
 def set_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from termweave.operators import similarity
+from termweave.operators import candidate_scan, similarity
 from termweave.runtime import SORTED_NUMBERS, stored
 from termweave.sources import similarity_lines
 
@@ -277,3 +277,31 @@ def test_tokens_of_few_records_are_sent_once(spark, monkeypatch):
     own = tuple(several.where(F.col("side") == side).count() for side in "rs")
     assert sent[:2] == [(0, 0), own]
     assert 0 < sent[2][0] < own[0] and sent[3][0] == own[0] and sent[3][1] > own[1]
+
+
+@pytest.mark.parametrize("threshold", [0.2, 0.6, 0.8, 1.0])
+def test_candidates_are_told_apart_without_being_exchanged(spark, monkeypatch, threshold):
+    for name, size in (("MADE", 20), ("CELL_TOKENS", 30), ("CHUNK_TOKENS", 50)):
+        monkeypatch.setattr(candidate_scan, name, size)
+    pick = random.Random(9)
+    sets = [(at, pick.sample("abcdefghijklmnopqrst", pick.randint(1, 12))) for at in range(120)]
+    one_id = [(None, ["a", "b"]), (None, ["b", "c"]), (500, ["a", "c"]), (500, ["a", "c"]), (501, [])]
+    records = stored(similarity.two_sided(side(spark, sets[:60] + one_id), side(spark, sets[50:] + one_id)))
+    order = similarity.token_order(records)
+    ordered = stored(similarity.canonical_order(records, order, bitmap=False))
+    plain = rows(similarity.candidates(similarity.prefixes(ordered, threshold), threshold))
+    found = candidate_scan.scanned_candidates(ordered, similarity.lowest_similarity(threshold), order)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan.partition("Exchange")[0]  # only the sets of cells are exchanged, before they meet
+    assert plan.count("Exchange") == 1
+    assert "Aggregate" not in plan
+    found = rows(found)
+    assert len(found) == len(set(found))
+    assert set(found) == set(plain)
+
+
+def test_no_candidates_of_one_side(spark):
+    records = stored(similarity.two_sided(side(spark, [(1, ["a"]), (2, ["a"])]), side(spark, [])))
+    order = similarity.token_order(records)
+    ordered = similarity.canonical_order(records, order, bitmap=False)
+    assert rows(candidate_scan.scanned_candidates(ordered, 0.5, order)) == []
