@@ -17,6 +17,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termweave.operators.cycle_scan import count_five_cycles
 from termweave.operators.skew import SPLIT_CELL_ROWS, balanced_join, key_sizes, lookup_join, result_tasks
 from termweave.runtime import shuffle_partitions, stored
 
@@ -24,6 +25,8 @@ from termweave.runtime import shuffle_partitions, stored
 TRIM_ROUNDS = 16
 # Tasks that count half cycles, per partition of a shuffle: halves outnumber the edges.
 SPREAD = 4
+# Paths of two edges up to which halves of three edges are exchanged.
+SENT_PATHS = 1 << 22
 
 
 def vertices(edges: DataFrame) -> DataFrame:
@@ -89,6 +92,11 @@ def ranked_edges(edges: DataFrame, rounds: int = TRIM_ROUNDS) -> DataFrame:
     those that were left without such an edge thereby, until all have both.  That takes as many rounds as the longest chain that
     leads nowhere has vertices; after ``rounds`` the rest of it stays, which costs some paths and changes no result.
     """
+    return _with_degrees(*_trimmed(edges, rounds))
+
+
+def _trimmed(edges: DataFrame, rounds: int = TRIM_ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """Proper edges, and the degrees of their ends, of both of which ``ranked_edges`` are made.  Stored tables."""
     known = stored(weighted_edges(edges))
     degrees = _degrees(known)
     alive = (F.col("out") > 0) & (F.col("out") < F.col("degree"))
@@ -97,7 +105,7 @@ def ranked_edges(edges: DataFrame, rounds: int = TRIM_ROUNDS) -> DataFrame:
             break
         known = stored(_with_degrees(known, degrees.where(alive)).select("src", "dst", "n"))
         degrees = _degrees(known)
-    return _with_degrees(known, degrees)
+    return known, degrees
 
 
 def _lower(a: str, b: str) -> Column:
@@ -143,10 +151,12 @@ def _half_cycles(ranked: DataFrame, length: int) -> tuple[DataFrame, int]:
     return paths.select("start", "start_degree", "end", "inner", "n"), tasks
 
 
-def _halves(edges: DataFrame, k: int) -> tuple[tuple[DataFrame, int], tuple[DataFrame, int]]:
+def _halves(edges: DataFrame, k: int, ranked: DataFrame | None = None) -> tuple[tuple[DataFrame, int], tuple[DataFrame, int]]:
     if k < 2:
         raise ValueError("a cycle needs k >= 2 vertices")
-    if k == 2:  # no path is extended, so any ranking does
+    if ranked is not None:
+        ranked = stored(ranked)
+    elif k == 2:  # no path is extended, so any ranking does
         no_degree = (F.lit(0).alias(f"{side}_degree") for side in ("src", "dst"))
         ranked = weighted_edges(edges).select("*", *no_degree)
     else:
@@ -207,9 +217,17 @@ def count_cycles(edges: DataFrame, k: int) -> DataFrame:
     No cycle is listed.  Halves between the same two vertices combine unless they share an inner vertex.  Pairs that share none
     are counted by inclusion and exclusion: over all sets of inner vertices, with alternating sign, the number of forward halves
     that pass the whole set times that of backward ones.  These are sums per pair of ends and set: no join.
-    All halves between two vertices are counted in one task.
+    All halves between two vertices are counted in one task.  Cycles of five vertices in a graph of more than ``SENT_PATHS`` paths of two edges
+    are counted where their halves are made, as most paths of three edges meet nothing (``cycle_scan``).
     """
-    (forward, tasks), (backward, back_tasks) = _halves(edges, k)
+    ranked = None
+    if k == 5:
+        known, degrees = _trimmed(edges)
+        paths = degrees.agg(F.sum(F.col("out").cast("double") * (F.col("degree") - F.col("out")))).first()[0]
+        if (paths or 0) > SENT_PATHS:
+            return count_five_cycles(known, degrees)
+        ranked = _with_degrees(known, degrees)
+    (forward, tasks), (backward, back_tasks) = _halves(edges, k, ranked)
     most_shared = k // 2 - 1
 
     most_inner = k - k // 2 - 1 if most_shared else 0

@@ -5,7 +5,7 @@ from itertools import permutations
 import pytest
 from conftest import rows
 
-from termweave.operators import cycles
+from termweave.operators import cycle_scan, cycles
 from termweave.plans import inputs
 
 TEN_EDGES = [(0, 1), (0, 2), (1, 2), (1, 3), (2, 3), (2, 4), (3, 2), (3, 4), (4, 0), (4, 3)]
@@ -177,3 +177,31 @@ def test_halves_are_counted_in_tasks_by_their_number(spark, monkeypatch, k):
     assert rows(counted)[0][0] == expected == sum(brute_force(edges, k).values())
     tasks = 41 if k == 3 else 74  # a half of one edge is not joined: the session's width, 4
     assert f", {tasks})" in counted._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_five_cycles_are_counted_where_their_halves_are_made(spark, monkeypatch, seed):
+    """No path is exchanged or stored; the edges are, and are read by all tasks."""
+    pick = random.Random(seed)
+    edges = [(pick.randrange(12), pick.randrange(12)) for _ in range(60)] + [(1, 2)] * 3
+    edges += [(hub, v) for hub in (3, -5) for v in range(9)] + [(v, 3) for v in range(9)]
+    expected = sum(brute_force(edges, 5).values())
+    assert expected > 0
+    monkeypatch.setattr(cycles, "SENT_PATHS", 0)
+    for size in (1, 7, 1 << 20):
+        monkeypatch.setattr(cycle_scan, "CELL_HALVES", 20 * size)
+        monkeypatch.setattr(cycle_scan, "ROW_EDGES", size)
+        monkeypatch.setattr(cycle_scan, "MADE", size)
+        counted = cycles.count_cycles(graph(spark, edges), 5)
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "MapInArrow" in plan.split("Exchange")[1]  # that of the total
+        assert int(counted.first()[0]) == expected
+
+
+def test_five_cycles_beyond_64_bits_and_none(spark, monkeypatch):
+    monkeypatch.setattr(cycles, "SENT_PATHS", 0)
+    around = [(v, (v + 1) % 5) for v in range(5)]
+    edges = spark.range(7_000).crossJoin(graph(spark, around)).select("src", "dst")
+    assert int(cycles.count_cycles(edges, 5).first()[0]) == 7_000**5
+    assert count(spark, [(0, 1), (1, 2), (2, 0), (2, 3), (3, 0)], 5) == 0
+    assert count(spark, [], 5) == 0
