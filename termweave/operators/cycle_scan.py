@@ -18,12 +18,12 @@ from termweave.operators.skew import lookup_join
 from termweave.runtime import SMALL, shuffle_partitions, stored
 
 # Halves of two edges, of either direction, that a task holds, about.
-CELL_HALVES = 1 << 20
+CELL_HALVES = 3 << 19
 # Edges of a row that all tasks read.
-ROW_EDGES = 1 << 15
+ROW_EDGES = 1 << 16
 # Paths of three edges that are made at once, about.
 MADE = 1 << 20
-PACKED = "out boolean, n int, numbers binary"
+PACKED = "out boolean, n int, first bigint, last bigint, bytes int, columns int, numbers binary"
 
 
 def _packer() -> Callable:
@@ -34,16 +34,30 @@ def _packer() -> Callable:
         import numpy as np
         import pyarrow as pa
 
+        def row(way, edges):
+            columns = edges if (edges[2] != 1).any() else edges[:2]
+            size = 4 if max(column.max() for column in columns) < 1 << 31 else 8
+            packed = pa.Codec("zstd").compress(np.concatenate(columns).astype(f"<i{size}"), asbytes=True)
+            values = [pa.array([way]), pa.array([len(edges[0])], pa.int32()), *(pa.array([edges[0][end]]) for end in (0, -1))]
+            values += [pa.array([x], pa.int32()) for x in (size, len(columns))]
+            values.append(pa.array([packed], pa.binary()))
+            return pa.RecordBatch.from_arrays(values, ["out", "n", "first", "last", "bytes", "columns", "numbers"])
+
+        waiting = {True: [], False: []}
         for batch in batches:
             columns = [batch.column(name).to_numpy() for name in ("key", "next", "n")]
             out = batch.column("out").to_numpy(zero_copy_only=False)
-            for way in (True, False):
-                own = [column[out == way] for column in columns]
-                for at in range(0, len(own[0]), most):
-                    cut = np.concatenate([column[at : at + most] for column in own]).astype("<i8")
-                    packed = pa.Codec("zstd").compress(cut, asbytes=True)
-                    values = [pa.array([way]), pa.array([len(cut) // 3], pa.int32()), pa.array([packed], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(values, ["out", "n", "numbers"])
+            for way, parts in waiting.items():
+                parts.append([column[out == way] for column in columns])
+                if sum(len(part[0]) for part in parts) >= most:
+                    edges = [np.concatenate(column) for column in zip(*parts)]
+                    for at in range(0, len(edges[0]), most):
+                        yield row(way, [column[at : at + most] for column in edges])
+                    parts.clear()
+        for way, parts in waiting.items():
+            edges = [np.concatenate(column) for column in zip(*parts)]
+            if edges and len(edges[0]):
+                yield row(way, edges)
 
     return pack
 
@@ -161,22 +175,26 @@ def _counter(cells: list[tuple[int, int]], n_vertices: int) -> Callable:
                 way = rows["out"][row].as_py()
                 if phase == 2 and not way:
                     continue
-                n = rows["n"][row].as_py()
-                raw = pa.Codec("zstd").decompress(rows["numbers"][row].as_buffer(), 24 * n)
-                key, near, copies = np.frombuffer(raw, "<i8").reshape(3, n)
-                if phase == 0:  # they are in order of the key
-                    if key[-1] < low or key[0] >= high:
-                        continue
+                first, last_key, n, size, columns = (rows[x][row].as_py() for x in ("first", "last", "n", "bytes", "columns"))
+                if phase == 0 and (last_key < low or first >= high):
+                    continue
+                raw = pa.Codec("zstd").decompress(rows["numbers"][row].as_buffer(), columns * size * n)
+                numbers = np.frombuffer(raw, f"<i{size}").reshape(columns, n)
+                key, near = numbers[:2]
+                if phase == 0:
                     own = (key >= low) & (key < high) & (near < key)
                 elif phase == 1:
                     own = wanted[way][key]
                 else:
                     own = wanted[True][key] & to_ends[near]
                 if own.any():
+                    found = [column[own].astype("i8") for column in numbers]
+                    if columns == 2:
+                        found.append(np.ones(len(found[0]), "i8"))
                     if phase == 2:
-                        total += closed(key[own], near[own], copies[own])
+                        total += closed(*found)
                     else:
-                        kept[way].append((key[own], near[own], copies[own]))
+                        kept[way].append(found)
         yield pa.RecordBatch.from_arrays([pa.array([str(total)])], ["n"])
 
     return count
